@@ -201,6 +201,21 @@ def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words: i
         yield block
 
 
+def _finder(held, kind: str, made: pa.DataType):
+    @F.arrow_udf(LEAK.format(item=kind))
+    def find(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = held.value
+        for part in parts:
+            rows = [
+                [{"item_id": i, "start": s, "stop": e, "distance": d, "similarity": 1 - d / n} for i, s, e, d, n in found]
+                for texts in slices(part, 1 << 20)
+                for found in own.leaks([words_of(t) for t in texts])
+            ]
+            yield pa.array(rows, made)
+
+    return find
+
+
 def with_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", out_col: str = "leaks", item_id: str = "item_id", item_text: str = "text", block_words: int = BLOCK_WORDS, **index) -> DataFrame:
     """``docs`` with an array of the benchmark items that each whole text holds a copy of.
 
@@ -216,19 +231,7 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", ou
     leaks = F.array().cast(LEAK.format(item=kind))
     sc = docs.sparkSession.sparkContext
     for block in item_blocks(benchmark, item_id, item_text, block_words):
-        held = sc.broadcast(LeakIndex(block, **index))
-
-        @F.arrow_udf(LEAK.format(item=kind))
-        def find(parts: Iterator[pa.Array], held=held) -> Iterator[pa.Array]:
-            own = held.value
-            for part in parts:
-                rows = [
-                    [{"item_id": i, "start": s, "stop": e, "distance": d, "similarity": 1 - d / n} for i, s, e, d, n in found]
-                    for texts in slices(part, 1 << 20)
-                    for found in own.leaks([words_of(t) for t in texts])
-                ]
-                yield pa.array(rows, made)
-
+        find = _finder(sc.broadcast(LeakIndex(block, **index)), kind, made)
         leaks = F.concat(leaks, find(F.col(text_col)))
     return docs.withColumn(out_col, leaks)
 
