@@ -13,10 +13,15 @@ from pyspark.sql import functions as F
 
 from parley.llm.common import connected, slices, stored
 
-#: Words a shingle; least Jaccard similarity in hundredths; shared prefix tokens that two groups need to meet.
-WORDS, PERCENT, SHARED = 4, 85, 3
+#: Words a shingle; least Jaccard similarity in hundredths.
+WORDS, PERCENT = 4, 85
+#: Prefix tokens that two groups have to share to meet: one for so many tokens of a set, but this many at least. More
+#: tokens make the prefixes longer and chance meetings rarer; no link is lost either way.
+SHARED_OF, SHARED = 25, 4
 #: A token in at least one of this many documents is frequent: it comes last in the token order.
-RARE = 2_000
+RARE = 4_000
+#: Groups that share one prefix token are paired if they are so many at most; more are put together as they are.
+MOST_PAIRED = 200
 #: Tokens that one matching task holds; larger candidate components are matched in pairs of blocks of half of that.
 TASK_TOKENS = 4_000_000
 
@@ -65,21 +70,29 @@ def word_hashes(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def shingle_sets(texts: list[str | None], words: int = WORDS) -> list[np.ndarray]:
     """The sorted distinct 64-bit shingle hashes of each whole text; of fewer words, one of the whole sequence; of none, none."""
+    return [s for s, _ in sized_shingle_sets(texts, words)]
+
+
+def sized_shingle_sets(texts: list[str | None], words: int = WORDS) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(set, bytes of each of its shingles) of each whole text."""
     if not texts:
         return []
-    hashes, _, sizes = word_hashes([t.encode("utf-8", "surrogatepass").lower() if t else b"" for t in texts])
+    hashes, lengths, sizes = word_hashes([t.encode("utf-8", "surrogatepass").lower() if t else b"" for t in texts])
     rolled = np.zeros(max(0, len(hashes) - words + 1), np.uint64)
     for k in range(words):
         rolled = _mixed(rolled + hashes[k : k + len(rolled)] * np.uint64(2 * k + 3))
+    span = np.concatenate([np.zeros(1, np.int64), np.cumsum(lengths)])
+    span = span[words:] - span[:-words] if len(lengths) >= words else np.zeros(0, np.int64)
     out, at = [], 0
     for n in sizes.tolist():
         if n >= words:
-            out.append(np.unique(rolled[at : at + n - words + 1]))
+            own, first = np.unique(rolled[at : at + n - words + 1], return_index=True)
+            out.append((own, span[at : at + n - words + 1][first]))
         elif n:
             # a short sequence has a hash of its own kind, so that it never equals a longer one's shingle
-            out.append(np.array([xxhash.xxh3_64_intdigest(hashes[at : at + n].tobytes(), seed=n)], np.uint64))
+            out.append((np.array([xxhash.xxh3_64_intdigest(hashes[at : at + n].tobytes(), seed=n)], np.uint64), lengths[at : at + n].sum(keepdims=True)))
         else:
-            out.append(np.zeros(0, np.uint64))
+            out.append((np.zeros(0, np.uint64), np.zeros(0, np.int64)))
         at += n
     return out
 
@@ -100,6 +113,11 @@ def least_shared(n: int, percent: int = PERCENT) -> int:
     return -(-percent * n // 100)
 
 
+def must_meet(n: int, percent: int = PERCENT) -> int:
+    """Tokens that the prefixes of a set of n and of any partner share at least, given how long they are made."""
+    return min(least_shared(n, percent), max(SHARED, n // SHARED_OF))
+
+
 class Clusters:
     """Union-find; the least index of a cluster is its root."""
 
@@ -120,40 +138,60 @@ class Clusters:
 
 
 class TokenGroupMatrix:
-    """Groups of sets with the union of each group's tokens; queries open only groups that can hold a partner."""
+    """Groups of similar sets with the union of each group's tokens; queries open only groups that can hold a partner.
+
+    A set joins the first group whose leader shares one of a few min-hashes and is similar enough, else it leads a new
+    one. The matrix is sparse, token by token: which groups have the token in their union. Adding up the rows of a
+    query's tokens bounds its overlap with the members of every group at once.
+    """
+
+    HASHES, SIMILAR = 6, 60
 
-    def __init__(self, sets: list[np.ndarray], groups: list[int], percent: int = PERCENT):
+    def __init__(self, sets: list[np.ndarray], percent: int = PERCENT):
         self.sets, self.percent = sets, percent
-        self.members: dict[int, list[int]] = {}
-        for i, g in enumerate(groups):
-            self.members.setdefault(g, []).append(i)
-        self.union = {g: np.unique(np.concatenate([sets[i] for i in own])) if len(own) > 1 else sets[own[0]] for g, own in self.members.items()}
-        self.smallest = {g: min(len(sets[i]) for i in own) for g, own in self.members.items()}
+        self.group = np.zeros(len(sets), np.int64)
+        leaders: list[int] = []
+        by_hash: dict[tuple[int, int], list[int]] = {}
+        for i, x in enumerate(sets):
+            marks = [(k, int(((x ^ np.uint64(0x9E3779B97F4A7C15 * (k + 1) % 2**64)) * _MIX1).min())) for k in range(self.HASHES)]
+            found = next((g for g in dict.fromkeys(g for m in marks for g in by_hash.get(m, ())[:4]) if linked(x, sets[leaders[g]], self.SIMILAR)), None)
+            if found is None:
+                found = len(leaders)
+                leaders.append(i)
+                for m in marks:
+                    by_hash.setdefault(m, []).append(found)
+            self.group[i] = found
+        self.groups = len(leaders)
+        pairs_token = np.concatenate(sets)
+        pairs_group = np.repeat(self.group, [len(x) for x in sets])
+        order = np.lexsort((pairs_group, pairs_token))
+        pairs_token, pairs_group = pairs_token[order], pairs_group[order]
+        keep = np.append(True, (pairs_token[1:] != pairs_token[:-1]) | (pairs_group[1:] != pairs_group[:-1]))
+        token, self.has = pairs_token[keep], pairs_group[keep]
+        start = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
+        self.token, self.start = token[start], np.append(start, len(token))
         self.opened = 0
 
-    def qualifies(self, x: np.ndarray, g: int) -> bool:
-        """Can the group hold a set similar to x? Its overlap with any member is at most that with the union."""
-        need = least_shared(len(x), self.percent)
-        union = self.union[g]
-        if len(union) < need or self.percent * self.smallest[g] > 100 * len(x):
-            return False
-        at = np.searchsorted(union, x)
-        at[at == len(union)] = 0
-        return int((union[at] == x).sum()) >= need
+    def qualifying(self, x: np.ndarray) -> list[int]:
+        """The groups of which some member could be similar to x."""
+        row = np.searchsorted(self.token, x)
+        low = self.start[row]
+        n = self.start[row + 1] - low
+        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
+        return np.flatnonzero(np.bincount(self.has[at], minlength=self.groups) >= least_shared(len(x), self.percent)).tolist()
 
     def clusters(self) -> Clusters:
         """All sets joined along all links. A set is not compared with a cluster that it already belongs to."""
         found = Clusters(len(self.sets))
         #: per group, the sets seen so far by cluster; roots are brought up to date when the group is opened
-        seen: dict[int, dict[int, list[int]]] = {g: {} for g in self.members}
-        group_of = {i: g for g, own in self.members.items() for i in own}
+        seen: list[dict[int, list[int]]] = [{} for _ in range(self.groups)]
         for i, x in enumerate(self.sets):
-            for g, by_root in seen.items():
-                if not by_root or not self.qualifies(x, g):
+            for g in self.qualifying(x):
+                if not seen[g]:
                     continue
                 self.opened += 1
                 now: dict[int, list[int]] = {}
-                for r, own in by_root.items():
+                for r, own in seen[g].items():
                     r = found.root(r)
                     if r in now:
                         now[r] = now[r] + own if len(now[r]) >= len(own) else own + now[r]
@@ -163,7 +201,7 @@ class TokenGroupMatrix:
                 for r, own in now.items():
                     if found.root(r) != found.root(i) and any(linked(x, self.sets[j], self.percent) for j in own):
                         found.unite(i, r)
-            seen[group_of[i]].setdefault(i, []).append(i)
+            seen[self.group[i]].setdefault(i, []).append(i)
         return found
 
 
@@ -171,13 +209,13 @@ class TokenGroupMatrix:
 
 
 def _frequent(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tokens that a few thousand documents in a row have at least 8 times, with these counts."""
+    """Tokens that a few thousand documents in a row have at least 4 times, with these counts."""
     held: list[np.ndarray] = []
     size = 0
 
     def flush() -> pa.RecordBatch:
         tokens, n = np.unique(np.concatenate(held), return_counts=True)
-        tokens, n = tokens[n >= 8], n[n >= 8]
+        tokens, n = tokens[n >= 4], n[n >= 4]
         return pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), pa.array(n)], names=["token", "n"])
 
     for part in parts:
@@ -191,8 +229,10 @@ def _frequent(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
-def _in_order(tokens: np.ndarray, frequent: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """Rare tokens first, by hash; then the frequent ones, by count."""
+def _in_order(tokens: np.ndarray, span: np.ndarray, frequent: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """One order for all sets: long shingles first, which are rare as long words are, then by hash; but those known to be
+    frequent come last, by count."""
+    tokens = tokens[np.argsort(-span, kind="stable")]
     if not len(frequent):
         return tokens
     at = np.searchsorted(frequent, tokens)
@@ -200,8 +240,8 @@ def _in_order(tokens: np.ndarray, frequent: np.ndarray, rank: np.ndarray) -> np.
     hit = frequent[at] == tokens
     if not hit.any():
         return tokens
-    late = tokens[hit]
-    return np.concatenate([tokens[~hit], late[np.argsort(rank[at[hit]], kind="stable")]])
+    late, order = tokens[hit], rank[at[hit]]
+    return np.concatenate([tokens[~hit], late[np.lexsort((late, order))]])
 
 
 def _prefix_rows(held, words: int, percent: int):
@@ -210,58 +250,72 @@ def _prefix_rows(held, words: int, percent: int):
         for part in parts:
             ids, at = part.column(0), 0
             for texts in slices(part.column(1), 1 << 20):
-                n, keys, prefixes = [], [], []
-                for s in shingle_sets(texts, words):
+                n, need, keys, prefixes = [], [], [], []
+                for s, span in sized_shingle_sets(texts, words):
                     n.append(len(s))
                     keys.append(xxhash.xxh3_128_digest(s.tobytes()))
-                    least = least_shared(len(s), percent)
-                    prefixes.append(_in_order(s, frequent, rank)[: len(s) - least + min(SHARED, least)].view(np.int64))
+                    need.append(must_meet(len(s), percent))
+                    prefixes.append(_in_order(s, span, frequent, rank)[: len(s) - least_shared(len(s), percent) + need[-1]].view(np.int64))
                 lists = pa.ListArray.from_arrays(np.cumsum([0, *map(len, prefixes)]).astype(np.int32), pa.array(np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)))
-                yield pa.RecordBatch.from_arrays([ids.slice(at, len(texts)), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), lists], names=["doc_id", "n", "set_key", "prefix"])
+                yield pa.RecordBatch.from_arrays([ids.slice(at, len(texts)), pa.array(n, pa.int64()), pa.array(need, pa.int64()), pa.array(keys, pa.binary()), lists], names=["doc_id", "n", "need", "set_key", "prefix"])
                 at += len(texts)
 
     return rows
 
 
-def _meetings(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows (token, group, need) sorted by token and group: the pairs of different groups that share a token."""
-    tail = [np.zeros(0, np.int64)] * 3
+def _meetings(percent: int):
+    """From rows (token, group, need, n) sorted by token and group: the pairs of different groups that share a token and
+    have sets of sizes that can be similar."""
 
-    def pairs(token, group, need):
-        keep = np.append(True, (token[1:] != token[:-1]) | (group[1:] != group[:-1]))
-        # the least need of a group's rows for a token
-        need = np.minimum.reduceat(need, np.flatnonzero(keep)) if len(need) else need
+    def pairs(token, group, need, n):
+        if not len(token):
+            return
+        keep = np.flatnonzero(np.append(True, (token[1:] != token[:-1]) | (group[1:] != group[:-1])))
+        need, least, most = np.minimum.reduceat(need, keep), np.minimum.reduceat(n, keep), np.maximum.reduceat(n, keep)
         token, group = token[keep], group[keep]
         start = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
-        n = np.diff(np.append(start, len(token)))
-        for size in np.unique(n[n > 1]).tolist():
+        sizes = np.diff(np.append(start, len(token)))
+
+        def batch(x, y, needs):
+            return pa.RecordBatch.from_arrays([pa.array(group[x]), pa.array(group[y]), pa.array(needs)], names=["u", "v", "need"])
+
+        for size in np.unique(sizes[sizes > 1]).tolist():
+            if size > MOST_PAIRED:
+                # all meet the first one, however many tokens they share
+                for s in start[sizes == size].tolist():
+                    yield batch(np.full(size - 1, s), np.arange(s + 1, s + size), np.zeros(size - 1, np.int64))
+                continue
             first, second = np.triu_indices(size, 1)
-            step = max(1, 200_000 // len(first))
-            runs = start[n == size]
+            runs = start[sizes == size]
+            step = max(1, 400_000 // len(first))
             for r in range(0, len(runs), step):
                 own = runs[r : r + step, None]
-                a, b = (own + first).ravel(), (own + second).ravel()
-                for c in range(0, len(a), 500_000):
-                    x, y = a[c : c + 500_000], b[c : c + 500_000]
-                    yield pa.RecordBatch.from_arrays([pa.array(group[x]), pa.array(group[y]), pa.array(np.minimum(need[x], need[y]))], names=["u", "v", "need"])
-
-    for part in parts:
-        columns = [np.concatenate([t, c.to_numpy(zero_copy_only=False).astype(np.int64)]) for t, c in zip(tail, part.columns)]
-        if not len(columns[0]):
-            continue
-        cut = int(np.searchsorted(columns[0], columns[0][-1]))  # the last token may go on in the next batch
-        tail = [c[cut:] for c in columns]
-        yield from pairs(*(c[:cut] for c in columns))
-    if len(tail[0]):
+                x, y = (own + first).ravel(), (own + second).ravel()
+                ok = (100 * most[x] >= percent * least[y]) & (100 * most[y] >= percent * least[x])
+                x, y = x[ok], y[ok]
+                if len(x):
+                    yield batch(x, y, np.minimum(need[x], need[y]))
+
+    def meetings(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tail = [np.zeros(0, np.int64)] * 4
+        for part in parts:
+            columns = [np.concatenate([t, c.to_numpy(zero_copy_only=False).astype(np.int64)]) for t, c in zip(tail, part.columns)]
+            if not len(columns[0]):
+                continue
+            cut = int(np.searchsorted(columns[0], columns[0][-1]))  # the last token may go on in the next batch
+            tail = [c[cut:] for c in columns]
+            yield from pairs(*(c[:cut] for c in columns))
         yield from pairs(*tail)
 
+    return meetings
+
 
 def _matched(percent: int, words: int):
-    """From rows (task, doc_id, set_key, grp, text) sorted by task: (set_key, doc_id, root) for each set of a task."""
+    """From rows (task, doc_id, set_key, text) sorted by task: (set_key, doc_id, root) for each set of a task."""
 
     def solve(rows: list[tuple]) -> pa.RecordBatch:
-        keys, ids, groups, sets = zip(*rows)
-        found = TokenGroupMatrix(list(sets), list(groups), percent).clusters()
+        keys, ids, sets = zip(*rows)
+        found = TokenGroupMatrix(list(sets), percent).clusters()
         least: dict[int, int] = {}
         for i, d in enumerate(ids):
             r = found.root(i)
@@ -272,10 +326,10 @@ def _matched(percent: int, words: int):
         task, rows = None, []
         for part in parts:
             at = 0
-            for texts in slices(part.column(4), 1 << 20):
+            for texts in slices(part.column(3), 1 << 20):
                 piece = part.slice(at, len(texts))
                 at += len(texts)
-                for t, d, key, group, s in zip(*(piece.column(i).to_pylist() for i in range(4)), shingle_sets(texts, words)):
+                for t, d, key, s in zip(*(piece.column(i).to_pylist() for i in range(3)), shingle_sets(texts, words)):
                     if t != task:
                         if rows:
                             yield solve(rows)
@@ -283,7 +337,7 @@ def _matched(percent: int, words: int):
                     # rows of one id with other texts are not the set that was meant
                     if key not in seen and xxhash.xxh3_128_digest(s.tobytes()) == key:
                         seen.add(key)
-                        rows.append((key, d, group, s))
+                        rows.append((key, d, s))
         if rows:
             yield solve(rows)
 
@@ -294,8 +348,8 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Per document: doc_id, n_shingles, component_id (the least doc_id reachable over links, itself included).
 
     Two documents link when 100 * intersection >= percent * union of their distinct word shingles. Equal sets are one
-    class from the start. A class emits a prefix of its tokens, rarest first, long enough that two linked classes share
-    ``SHARED`` tokens of it; classes with the same first token are a group, and groups that share so many tokens are
+    class from the start. A class emits a prefix of its tokens, long ones first, long enough that two linked classes share
+    ``must_meet`` tokens of it; classes with the same first token are a group, and groups that share so many tokens are
     matched in one task by the token-group matrix. Larger sets of groups are matched in pairs of blocks. All of this
     loses no link. Null and empty texts have no shingles and link with nothing; rows of equal text link; other columns
     are not looked at; an empty table gives an empty result. The id has to be a 64-bit integer; rows with a null id stand
@@ -308,18 +362,17 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     token, n = often.column("token").to_numpy().view(np.uint64), often.column("n").to_numpy()
     order = np.argsort(token)
     held = spark.sparkContext.broadcast((token[order], n[order]))
-    made = stored(docs.mapInArrow(_prefix_rows(held, words, percent), "doc_id long, n long, set_key binary, prefix array<long>"), "ngram-sets")
+    made = stored(docs.mapInArrow(_prefix_rows(held, words, percent), "doc_id long, n long, need long, set_key binary, prefix array<long>"), "ngram-sets")
 
     classes = stored(
-        made.where("n > 0").groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix")).withColumn("grp", F.col("prefix")[0]),
+        made.where("n > 0").groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("need").alias("need"), F.first("prefix").alias("prefix")).withColumn("grp", F.col("prefix")[0]),
         "ngram-classes",
     )
-    need = F.least(F.lit(SHARED), F.ceil(F.col("n") * percent / 100)).cast("int")
     met = (
-        classes.select(F.explode("prefix").alias("token"), "grp", need.alias("need"))
+        classes.select(F.explode("prefix").alias("token"), "grp", "need", "n")
         .repartition("token")
         .sortWithinPartitions("token", "grp")
-        .mapInArrow(_meetings, "u long, v long, need long")
+        .mapInArrow(_meetings(percent), "u long, v long, need long")
         .groupBy("u", "v")
         .agg(F.count("*").alias("n"), F.min("need").alias("need"))
         .where("n >= need")
@@ -333,8 +386,8 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     wanted = classes.select("set_key", "rep", "grp").join(groups.select("grp", "part").join(blocks, "part"), "grp")
     own = F.pmod(F.xxhash64("set_key"), F.col("blocks")).cast("int")
     tasks = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, own).alias("a"), F.greatest(k, own).alias("b")))
-    wanted = wanted.select("rep", "set_key", "grp", "blocks", F.explode(tasks).alias("ab"), "part").select("rep", "set_key", "grp", F.struct("part", "ab.a", "ab.b").alias("key"))
-    texts = docs.join(wanted, docs["doc_id"] == wanted["rep"]).select(F.xxhash64("key.part", "key.a", "key.b").alias("task"), "doc_id", "set_key", "grp", "text")
+    wanted = wanted.select("rep", "set_key", "blocks", F.explode(tasks).alias("ab"), "part").select("rep", "set_key", F.struct("part", "ab.a", "ab.b").alias("key"))
+    texts = docs.join(wanted, docs["doc_id"] == wanted["rep"]).select(F.xxhash64("key.part", "key.a", "key.b").alias("task"), "doc_id", "set_key", "text")
     links = stored(
         texts.repartition("task").sortWithinPartitions("task", "set_key").mapInArrow(_matched(percent, words), "set_key binary, u long, v long"), "ngram-links"
     )
