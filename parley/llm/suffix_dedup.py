@@ -108,48 +108,86 @@ def _contexts(passage: int):
     return contexts
 
 
-def _neighbours(passage: int):
-    """From suffix rows sorted by (key, right context): spans (doc_id, start, stop, other) that a suffix shares with the
-    nearest suffix of another document before or after it."""
+def _prefix_hashes(x: np.ndarray) -> np.ndarray:
+    """Hashes of the first 0, 1, 2, ... columns of each row."""
+    out = np.zeros((len(x), x.shape[1] + 1), np.uint64)
+    for k in range(x.shape[1]):
+        out[:, k + 1] = _mixed(out[:, k] * np.uint64(3) + x[:, k])
+    return out
+
+
+def shared_windows(key: np.ndarray, doc: np.ndarray, pos: np.ndarray, right: np.ndarray, left: np.ndarray, passage: int):
+    """(row, first, last, other): rows with a stretch of ``passage`` words around their seed that another document has,
+    the least and greatest number of words that such a stretch extends to the left, and one such document.
+
+    For each extension to the left the suffixes are sorted from there on, and neighbours are compared."""
+    ahead, back = _prefix_hashes(right), _prefix_hashes(left)
+    first, last, other = np.full(len(key), passage), np.full(len(key), -1), np.zeros(len(key), np.int64)
+    salt = key.view(np.uint64)
+    for o in range(left.shape[1] + 1):
+        own = np.flatnonzero((right[:, passage - o - 1] > 0) & (left[:, o - 1] > 0 if o else True))
+        if len(own) < 2:
+            continue
+        h = _mixed(salt[own] + back[own, o] * np.uint64(5) + _mixed(ahead[own, passage - o]))
+        order = np.argsort(h, kind="stable")
+        own, h = own[order], h[order]
+        run = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+        size = np.diff(np.append(run, len(h)))
+        low, high = np.repeat(np.minimum.reduceat(doc[own], run), size), np.repeat(np.maximum.reduceat(doc[own], run), size)
+        hit = low != high
+        own, low, high = own[hit], low[hit], high[hit]
+        first[own], last[own] = np.minimum(first[own], o), o
+        other[own] = np.where(low == doc[own], high, low)
+    row = np.flatnonzero(last >= 0)
+    return row, first[row], last[row], other[row]
+
+
+def _neighbours(passage: int, chunk: int = 20_000):
+    """From suffix rows sorted by (key, right context): spans (doc_id, start, stop, other) that another document has.
+
+    Whole keys are taken together. Of a key that fills a chunk, rows whose whole context two documents have are matched
+    for good: two of them stay for the rows to come, so that copies do not pile up."""
     seed = passage // 2
     wide, narrow = passage + 1, passage - seed
 
     def matrix(column: pa.Array, width: int) -> np.ndarray:
-        return np.frombuffer(b"".join(column.to_pylist()), ">u4").reshape(-1, width)
-
-    def shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        differ = (a != b) | (a == 0)
-        return np.where(differ.any(1), differ.argmax(1), a.shape[1])
+        return np.frombuffer(b"".join(column.to_pylist()), ">u4").reshape(-1, width).astype(np.uint64)
+
+    def spans(rows: list[np.ndarray]) -> pa.RecordBatch:
+        row, first, last, other = shared_windows(*rows, passage)
+        return pa.RecordBatch.from_arrays([
+            pa.array(rows[1][row]), pa.array((rows[2][row] - last).astype(np.int32)), pa.array((rows[2][row] + passage - first).astype(np.int32)), pa.array(other),
+        ], names=["doc_id", "start", "stop", "other"])
+
+    def thinned(rows: list[np.ndarray]) -> list[np.ndarray]:
+        whole = _mixed(_prefix_hashes(rows[3])[:, -1] + _mixed(_prefix_hashes(rows[4])[:, -1]))
+        order = np.lexsort((rows[1], whole))
+        whole, doc = whole[order], rows[1][order]
+        run = np.flatnonzero(np.append(True, whole[1:] != whole[:-1]))
+        size = np.diff(np.append(run, len(whole)))
+        ends = np.zeros(len(whole), bool)
+        ends[run], ends[run + size - 1] = True, True
+        matched = np.repeat(doc[run] != doc[run + size - 1], size)
+        keep = np.sort(order[ends | ~matched])
+        return [r[keep] for r in rows]
 
     def neighbours(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list | None = None
-
-        def compare(rows, last: bool):
-            key, doc, pos, right, left = rows
-            run = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])))
-            of = np.repeat(np.arange(len(run)), np.diff(np.append(run, len(key))))
-            ends = np.append(run[1:], len(key)) - 1
-            for other, ok in ((ends[np.maximum(of - 1, 0)], of > 0), (run[np.minimum(of + 1, len(run) - 1)], of < len(run) - 1)):
-                i = np.flatnonzero(ok)
-                i = i[key[i] == key[other[i]]]
-                j = other[i]
-                ahead, back = shared(right[i], right[j]), shared(left[i], left[j])
-                hit = ahead + back >= passage
-                i, j, ahead, back = i[hit], j[hit], ahead[hit], back[hit]
-                yield pa.RecordBatch.from_arrays([pa.array(doc[i]), pa.array((pos[i] - back).astype(np.int32)), pa.array((pos[i] + ahead).astype(np.int32)), pa.array(doc[j])], names=["doc_id", "start", "stop", "other"])
-
         for part in parts:
-            for at in range(0, part.num_rows, 20_000):
-                piece = part.slice(at, 20_000)
+            for at in range(0, part.num_rows, chunk):
+                piece = part.slice(at, chunk)
                 rows = [piece.column(k).to_numpy(zero_copy_only=False) for k in range(3)] + [matrix(piece.column(3), wide), matrix(piece.column(4), narrow)]
                 if held is not None:
                     rows = [np.concatenate([h, r]) for h, r in zip(held, rows)]
-                yield from compare(rows, False)
-                # the last run may go on; it is compared again, together with the row before it
-                key, doc = rows[0], rows[1]
-                change = np.flatnonzero((doc[1:] != doc[:-1]) | (key[1:] != key[:-1]))
-                keep = max(0, int(change[-1])) if len(change) else 0
-                held = [r[keep:] for r in rows]
+                cut = int(np.flatnonzero(rows[0] != rows[0][-1])[-1]) + 1 if rows[0][0] != rows[0][-1] else 0
+                if cut:
+                    yield spans([r[:cut] for r in rows])
+                held = [r[cut:] for r in rows]  # the last key may go on
+                if len(held[0]) >= chunk:
+                    yield spans(held)
+                    held = thinned(held)
+        if held is not None:
+            yield spans(held)
 
     return neighbours
 
@@ -179,9 +217,9 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     words), other (one document that shares part of it), n_words. Overlapping stretches are joined.
 
     Words are runs of other than ASCII white space, A-Z in lower case. Seeds at minimiser positions are counted by a
-    map-side aggregate; only those that two documents have go on. Their suffixes are sorted by what follows, and each is
-    compared with the nearest one of another document on either side, first to the right, then to the left. Neighbours
-    are read as a stream, so a passage in very many documents needs no more memory than a rare one. Null, empty and
+    map-side aggregate; only those that two documents have go on. Their suffixes are sorted by what follows, read
+    key by key, extended to the left word by word, and compared with their neighbours in that order. Full copies are
+    thinned while they stream by, so a passage in very many documents needs little more memory than a rare one. Null, empty and
     shorter texts have no row; rows with one doc_id are one document; null ids are left out; other columns are not looked
     at; an empty table gives an empty result.
     """
