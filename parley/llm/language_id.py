@@ -15,7 +15,7 @@ from parley.llm.common import slices
 
 #: Hashed buckets of the character 1-, 2- and 3-grams; centroids per language; bound of the labelled sample; bound of
 #: the labels that are learned (the most frequent ones).
-BUCKETS, CENTROIDS, SAMPLE_ROWS, MOST_LABELS = 4096, 4, 6_000, 256
+BUCKETS, CENTROIDS, SAMPLE_ROWS, MOST_LABELS = 4096, 4, 2_000, 256
 #: A text is rejected if it is further from its centroid than this many times the distance within which all but OUTER
 #: of the label's sample lie.
 SLACK, OUTER = 1.02, 0.001
@@ -137,7 +137,7 @@ def train(docs: DataFrame, label_col: str = "lang", text_col: str = "text", id_c
     sample = kept.select("label", "text").mapInArrow(_sparse, SPARSE).toArrow()
     out = []
     for label, at, n in zip(*(sample.column(i).to_pylist() for i in range(3))):
-        c = np.zeros(BUCKETS, np.int64)
+        c = np.zeros(BUCKETS, np.float32)
         c[np.frombuffer(at, "<u2")] = np.frombuffer(n, "<u4")
         out.append((label, at, c))
     out.sort(key=lambda x: (x[0], x[1]))
