@@ -213,7 +213,8 @@ def _finder(held, kind: str, made: pa.DataType):
             ]
             yield pa.array(rows, made)
 
-    return find
+    # else a filter on the array's size would run it a second time
+    return find.asNondeterministic()
 
 
 def with_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", out_col: str = "leaks", item_id: str = "item_id", item_text: str = "text", block_words: int = BLOCK_WORDS, **index) -> DataFrame:
