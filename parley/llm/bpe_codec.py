@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from parley.llm.common import slices
 
 #: Words whose ids are remembered; the memory is emptied when full, so it stays bounded.
-MEMORY = 400_000
+MEMORY = 120_000
 #: Unicode white space as the vocabulary's patterns take it.
 SPACE = r"\p{White_Space}"
 WORD = rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+"

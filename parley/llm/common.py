@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import functools
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Rows of one Arrow batch are decoded to Python strings in slices of about this many bytes, so that memory does
@@ -15,7 +19,19 @@ from pyspark.sql import DataFrame, SparkSession
 SLICE_BYTES = 4 << 20
 
 
+#: Rows of an Arrow batch between Spark and Python, where the session allows more: whole texts may be long.
+BATCH_ROWS = 1_000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batch size to ``BATCH_ROWS``, so that a batch of long texts fits beside the others."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "10000")) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -49,6 +65,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     The folder is removed when the driver's Python ends.
     """
     spark = df.sparkSession
+    bounded_batches(spark)
     path = f"{shared_dir(spark)}/parley-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     atexit.register(_delete_quietly, spark, path)
@@ -56,15 +73,32 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[list[str | None]]:
-    """The strings of an Arrow array in order, in lists of about ``most`` bytes."""
-    n, start = len(texts), 0
-    if not n:
-        return
-    mean = max(1, texts.nbytes // n)
-    step = max(1, most // mean)
+    """The strings of an Arrow array in order, in lists of at most ``most`` bytes, or one longer string."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+    start, n, done = 0, len(texts), 0
     while start < n:
-        yield texts.slice(start, step).to_pylist()
-        start += step
+        stop = max(start + 1, int(np.searchsorted(ends, done + most, "right")))
+        yield texts.slice(start, stop - start).to_pylist()
+        start, done = stop, int(ends[stop - 1])
+
+
+def _give_back() -> None:
+    """Return freed memory to the system; without this a reused worker keeps the most it ever had."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
+def frugal(task: Callable[..., Iterator]) -> Callable[..., Iterator]:
+    """A generator over the batches of a task that gives memory back at its end."""
+
+    @functools.wraps(task)
+    def run(*args):
+        yield from task(*args)
+        _give_back()
+
+    return run
 
 
 def connected(edges: DataFrame, name: str) -> DataFrame:

@@ -150,7 +150,7 @@ def fingerprint(text: Column) -> Column:
 RESULT = "doc_id {id}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
-def compare_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows_per_range: int = 4_000, most_ranges: int = 20_000) -> DataFrame:
+def compare_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows_per_range: int = 500, most_ranges: int = 20_000) -> DataFrame:
     """Per document: n_chars, the sha256 of its edited text, both fingerprints, and the likeness of its fingerprint to
     the edited text's and to that of the next document (ascending id; after the last comes the first).
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.common import slices
+from parley.llm.common import frugal, slices
 
 #: Hashed buckets of the character 1-, 2- and 3-grams; centroids per language; bound of the labelled sample; bound of
 #: the labels that are learned (the most frequent ones).
@@ -109,6 +109,7 @@ def fit(rows: list[tuple[str, np.ndarray]], per_label: int = CENTROIDS, slack: f
 SPARSE = "label string, buckets binary, counts binary"
 
 
+@frugal
 def _sparse(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in parts:
         labels, buckets, counts = [], [], []

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.common import connected, slices, stored
+from parley.llm.common import connected, frugal, slices, stored
 
 #: Words a shingle; least Jaccard similarity in hundredths.
 WORDS, PERCENT = 4, 85
@@ -208,6 +208,7 @@ class TokenGroupMatrix:
 # --- the parts of the job --------------------------------------------------------------------------------------------
 
 
+@frugal
 def _frequent(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Tokens that a few thousand documents in a row have at least 4 times, with these counts."""
     held: list[np.ndarray] = []
@@ -245,6 +246,7 @@ def _in_order(tokens: np.ndarray, span: np.ndarray, frequent: np.ndarray, rank:
 
 
 def _prefix_rows(held, words: int, percent: int):
+    @frugal
     def rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, rank = held.value
         for part in parts:
@@ -296,6 +298,7 @@ def _meetings(percent: int):
                 if len(x):
                     yield batch(x, y, np.minimum(need[x], need[y]))
 
+    @frugal
     def meetings(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tail = [np.zeros(0, np.int64)] * 4
         for part in parts:
@@ -322,6 +325,7 @@ def _matched(percent: int, words: int):
             least[r] = min(least.get(r, d), d)
         return pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(ids), pa.array([least[found.root(i)] for i in range(len(ids))])], names=["set_key", "u", "v"])
 
+    @frugal
     def match(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, rows = None, []
         for part in parts:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.common import slices, stored
+from parley.llm.common import frugal, slices, stored
 from parley.llm.ngram_join import _mixed, _powers, word_hashes
 
 #: Least words of a passage. Each stretch of so many words holds a whole seed at a selected position.
@@ -57,6 +57,7 @@ def minimisers(hashes: np.ndarray, sizes: np.ndarray, passage: int = PASSAGE_WOR
 
 
 def _seeds(passage: int):
+    @frugal
     def seeds(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             ids, at = part.column(0), 0
@@ -74,6 +75,7 @@ def _contexts(passage: int):
     seed = passage // 2
     left, right = passage - seed, passage + 1
 
+    @frugal
     def contexts(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             at = 0
@@ -171,6 +173,7 @@ def _neighbours(passage: int, chunk: int = 20_000):
         keep = np.sort(order[ends | ~matched])
         return [r[keep] for r in rows]
 
+    @frugal
     def neighbours(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list | None = None
         for part in parts:
