@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 
 from parley.llm.common import slices
 
-#: Words whose ids are remembered; the memory is emptied when full, so it stays bounded.
-MEMORY = 120_000
+#: Words whose ids are remembered; the memory is emptied when full, so it stays bounded. A worker that only encodes has
+#: room for more of them than one that also serves other stages.
+MEMORY, MORE_MEMORY = 120_000, 400_000
 #: Unicode white space as the vocabulary's patterns take it.
 SPACE = r"\p{White_Space}"
 WORD = rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+"
@@ -44,7 +45,8 @@ class BpeCodec:
     tokens. ``decode`` puts the vocabulary strings of ids together, one space between two: the file names no decoder.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memory: int = MEMORY):
+        self.memory = memory
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -88,7 +90,7 @@ class BpeCodec:
         raw = word.encode("utf-8", "surrogatepass")
         symbols = [self.byte[b] for b in raw[:-1]] + [self.last[raw[-1]]]
         ids = np.array(self.merge([s for s in symbols if s is not None]), "<u4").tobytes()
-        if len(self._known) >= MEMORY:
+        if len(self._known) >= self.memory:
             self._known.clear()
         self._known[word] = ids
         return ids
@@ -126,8 +128,8 @@ class BpeCodec:
 
 
 @lru_cache(maxsize=4)
-def codec(path: str) -> BpeCodec:
-    return BpeCodec(path)
+def codec(path: str, memory: int = MEMORY) -> BpeCodec:
+    return BpeCodec(path, memory)
 
 
 def _id_lists(rows: list[bytes]) -> pa.ListArray:
@@ -180,12 +182,12 @@ def round_trip(text: Column, path: str | None = None) -> Column:
 DIGEST = pa.struct([("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
 
-def round_trip_digest(text: Column, path: str | None = None) -> Column:
+def round_trip_digest(text: Column, path: str | None = None, memory: int = MORE_MEMORY) -> Column:
     """struct<n_tokens, ids_sha256, decoded_sha256> of each whole text: encoded, then decoded from those ids."""
 
     @F.arrow_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def digest(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        c, sha = codec(path or default_path()), hashlib.sha256
+        c, sha = codec(path or default_path(), memory), hashlib.sha256
         for part in parts:
             n, ids_sha, text_sha = [], [], []
             for s in slices(part):
