@@ -57,8 +57,13 @@ def clean_text(c: Column, full: bool = False) -> Column:
     return tidy(nfkc(unescape_all(c)) if full else unescape(c))
 
 
+def bound(c: Column, f) -> Column:
+    """f(c) with ``c`` computed once, however often f names it."""
+    return F.get(F.transform(F.array(c), f), 0)
+
+
 def capital(c: Column) -> Column:
-    return F.when(c.rlike(r"^\p{IsLowercase}"), F.concat(F.upper(F.substring(c, 1, 1)), F.substring(c, 2, 2**31 - 1))).otherwise(c)
+    return bound(c, lambda x: F.when(x.rlike(r"^\p{IsLowercase}"), F.concat(F.upper(F.substring(x, 1, 1)), F.substring(x, 2, 2**31 - 1))).otherwise(x))
 
 
 def clean_instruction(c: Column, full: bool = False) -> Column:

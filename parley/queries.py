@@ -65,8 +65,8 @@ def eda_dist_grouping_sets(spark, sf_dir):
 
 
 def clean_text_docs(spark, sf_dir):
-    t = F.col("text")
-    return _documents(spark, sf_dir).select("doc_id", clean.clean_instruction(t).alias("as_instruction"), clean.clean_response(t).alias("as_response"))
+    both = clean.bound(clean.capital(clean.clean_text(F.col("text"))), lambda x: F.struct(x.alias("as_instruction"), clean.sentence_capitals(x).alias("as_response")))
+    return _documents(spark, sf_dir).select("doc_id", both.alias("c")).select("doc_id", "c.as_instruction", "c.as_response")
 
 
 def clean_pages_unescape(spark, sf_dir):
