@@ -47,6 +47,7 @@ def test_cleaning(spark, full):
     assert one(clean.clean_response, "ok. yes! no?\nmaybe") == "Ok. Yes! No?\nMaybe"
     assert one(clean.clean_response, "see e.g. this") == "See e.g. This"
     assert one(clean.clean_response, "é. été") == "É. été"
+    assert one(clean.clean_response, "a. b\x01. c") == "A. B\x01. C"
 
 
 def test_scoring(spark):
