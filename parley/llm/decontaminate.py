@@ -12,13 +12,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.common import slices
+from parley.llm.common import slices, stored
 
 _WORD = re.compile(r"\w+")
 #: Least word-edit similarity of a leak; embedding steps that are sampled from; sampled steps a table; tables; seed.
 SIMILARITY, STEPS, BITS, TABLES, SEED = 0.8, 20, 10, 12, 7
-#: Benchmark words that one pass over the documents looks for; more items are looked for in further passes.
-BLOCK_WORDS = 2_000_000
+#: Benchmark words that one pass over the documents looks for; more items are looked for in further passes. The index of
+#: a block, which is broadcast, takes about 400 bytes a word.
+BLOCK_WORDS = 200_000
 
 
 def words_of(text: str | None) -> list[str]:
@@ -223,18 +224,33 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", ou
     A copy is a stretch of words (case and punctuation aside) whose edit distance to the item is at most 1 - similarity
     of the item's words; the best stretch per item is reported. Null and empty texts and items leak nothing; an item
     shorter than the walk counts only if it stands word for word; repeated items are reported as often as they occur
-    with different ids; repeated documents give repeated results. Documents stay where they are: each block of items
-    (bounded by ``block_words``) is one map over them.
+    with different ids; repeated documents give repeated results. With one block of items (bounded by ``block_words``)
+    this is one map over the documents. With more, each block is a pass of its own over the texts, so that a worker
+    holds one index at a time, and the documents are joined with what was found in their text.
     """
     kind = benchmark.schema[item_id].dataType.simpleString()
     arrow_kind = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
     made = pa.list_(pa.struct([("item_id", arrow_kind), ("start", pa.int32()), ("stop", pa.int32()), ("distance", pa.int32()), ("similarity", pa.float64())]))
-    leaks = F.array().cast(LEAK.format(item=kind))
     sc = docs.sparkSession.sparkContext
-    for block in item_blocks(benchmark, item_id, item_text, block_words):
-        find = _finder(sc.broadcast(LeakIndex(block, **index)), kind, made)
-        leaks = F.concat(leaks, find(F.col(text_col)))
-    return docs.withColumn(out_col, leaks)
+    text, none = F.col(text_col), F.array().cast(LEAK.format(item=kind))
+    blocks = item_blocks(benchmark, item_id, item_text, block_words)
+    block, following = next(blocks, None), next(blocks, None)
+    if block is None:
+        return docs.withColumn(out_col, none)
+    if following is None:
+        return docs.withColumn(out_col, _finder(sc.broadcast(LeakIndex(block, **index)), kind, made)(text))
+    found = None
+    while block is not None:
+        held = sc.broadcast(LeakIndex(block, **index))
+        one = docs.where(text.isNotNull()).select(F.sha2(text, 256).alias("_text_key"), _finder(held, kind, made)(text).alias("_found")).where("size(_found) > 0")
+        # equal texts have equal leaks; one of them stays, so that copies are not hot
+        one = stored(one.groupBy("_text_key").agg(F.first("_found").alias("_found")), "leak-block")
+        held.destroy()
+        found = one if found is None else found.union(one)
+        block, following = following, next(blocks, None)
+    found = found.groupBy("_text_key").agg(F.flatten(F.collect_list("_found")).alias("_found"))
+    both = docs.withColumn("_key_of_text", F.sha2(text, 256)).join(found, F.col("_key_of_text") == F.col("_text_key"), "left")
+    return both.select(*[F.col(f"`{c}`") for c in docs.columns if c != out_col], F.coalesce("_found", none).alias(out_col))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
