@@ -17,8 +17,9 @@ from parley.llm.common import frugal, slices
 #: the labels that are learned (the most frequent ones).
 BUCKETS, CENTROIDS, SAMPLE_ROWS, MOST_LABELS = 4096, 4, 2_000, 256
 #: A text is rejected if it is further from its centroid than this many times the distance within which all but OUTER
-#: of the label's sample lie.
-SLACK, OUTER = 1.02, 0.001
+#: of the label's sample lie. Cosines of texts with fewer distinct n-grams than FULL are raised first: a short text of
+#: the language lies further out, about as the root of its n-grams.
+SLACK, OUTER, FULL = 1.1, 0.001, 150
 UNDETERMINED = "und"
 
 
@@ -46,9 +47,13 @@ def ngram_counts(text: str | None) -> np.ndarray | None:
     return np.bincount(np.concatenate([one, two, three]) >> np.uint32(20), minlength=BUCKETS)
 
 
+def _fullness(counts: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.minimum(1, (counts > 0).sum(1) / FULL))
+
+
 @dataclass
 class CentroidModel:
-    """labels[k] and least[k] (the least cosine that is accepted) belong to the k-th row of centroids."""
+    """labels[k] and least[k] (the least cosine of a full text that is accepted) belong to the k-th row of centroids."""
 
     idf: np.ndarray
     centroids: np.ndarray
@@ -64,10 +69,11 @@ class CentroidModel:
         out: list[tuple[str, float, bool]] = [(UNDETERMINED, 0.0, True)] * len(texts)
         rows = [(i, c) for i, t in enumerate(texts) if (c := ngram_counts(t)) is not None]
         if rows and len(self.labels):
-            cosine = self.vectors(np.stack([c for _, c in rows])) @ self.centroids.T
+            counts = np.stack([c for _, c in rows])
+            cosine = self.vectors(counts) @ self.centroids.T
             best = cosine.argmax(1)
-            for (i, _), k, row in zip(rows, best.tolist(), cosine):
-                out[i] = (self.labels[k], float(min(1.0, max(0.0, row[k]))), bool(row[k] < self.least[k]))
+            for (i, _), k, row, full in zip(rows, best.tolist(), cosine, _fullness(counts)):
+                out[i] = (self.labels[k], float(min(1.0, max(0.0, row[k]))), bool(row[k] < self.least[k] * full))
         return out
 
 
@@ -92,13 +98,13 @@ def fit(rows: list[tuple[str, np.ndarray]], per_label: int = CENTROIDS, slack: f
         return CentroidModel(np.zeros(BUCKETS, np.float32), np.zeros((0, BUCKETS), np.float32), [], np.zeros(0))
     counts = np.stack([c for _, c in rows])
     model = CentroidModel((np.log((1 + len(rows)) / (1 + (counts > 0).sum(0))) + 0.05).astype(np.float32), np.zeros((0, BUCKETS)), [], np.zeros(0))
-    x, names = model.vectors(counts), np.array([n for n, _ in rows])
+    x, full, names = model.vectors(counts), _fullness(counts), np.array([n for n, _ in rows])
     centroids, labels, least = [], [], []
     for name in sorted(set(names)):
         own = x[names == name]
         c = _cluster(own, per_label)
         cosine = own @ c.T
-        furthest = np.quantile(cosine.max(1), OUTER)
+        furthest = np.quantile(cosine.max(1) / full[names == name], OUTER)
         centroids += list(c)
         labels += [str(name)] * len(c)
         least += [1 - slack * (1 - furthest)] * len(c)

@@ -110,6 +110,14 @@ def test_language_id(docs, pdf, spark):
     model = language_id.train(big)
     (label, s, rejected), _, far = model.predict(["the and of that", None, "漢字仮名交文日本語中文漢字"])
     assert not rejected and 0 <= s <= 1 and far[2] and model.predict(["123 !"])[0] == ("und", 0.0, True)
+    rows = [(r.lang, language_id.ngram_counts(r.text)) for r in big.select("lang", "text").collect()]
+    rows = [(n, c) for n, c in rows if n and c is not None]
+    lost = [p for p in model.predict([r.text for r in big.where("lang is not null").select("text").collect()]) if p[2]]
+    assert len(lost) <= 0.005 * len(rows)
+    # a language that was not learned is rejected
+    others = language_id.fit([(n, c.astype("f4")) for n, c in rows if n != "es"])
+    far = others.predict([r.text for r in big.where("lang = 'es'").select("text").collect()])
+    assert sum(p[2] for p in far) / len(far) > 0.9
 
 
 def _components(rows):
