@@ -18,8 +18,9 @@ from parley.llm.common import frugal, slices
 BUCKETS, CENTROIDS, SAMPLE_ROWS, MOST_LABELS = 4096, 4, 2_000, 256
 #: A text is rejected if it is further from its centroid than this many times the distance within which all but OUTER
 #: of the label's sample lie. Cosines of texts with fewer distinct n-grams than FULL are raised first: a short text of
-#: the language lies further out, about as the root of its n-grams.
-SLACK, OUTER, FULL = 1.1, 0.001, 150
+#: the language lies further out, about as the root of its n-grams. Where that levels off depends on how varied a corpus
+#: is, so it is judged at two such numbers, and a text has to be too far under both.
+SLACK, OUTER, FULL = 1.1, 0.001, (150, 800)
 UNDETERMINED = "und"
 
 
@@ -48,12 +49,14 @@ def ngram_counts(text: str | None) -> np.ndarray | None:
 
 
 def _fullness(counts: np.ndarray) -> np.ndarray:
-    return np.sqrt(np.minimum(1, (counts > 0).sum(1) / FULL))
+    """One row per text, one column per number of FULL."""
+    return np.sqrt(np.minimum(1, (counts > 0).sum(1)[:, None] / np.array(FULL)))
 
 
 @dataclass
 class CentroidModel:
-    """labels[k] and least[k] (the least cosine of a full text that is accepted) belong to the k-th row of centroids."""
+    """labels[k] and least[k] (the least cosines of a full text that is accepted, one per number of FULL) belong to the
+    k-th row of centroids."""
 
     idf: np.ndarray
     centroids: np.ndarray
@@ -73,7 +76,7 @@ class CentroidModel:
             cosine = self.vectors(counts) @ self.centroids.T
             best = cosine.argmax(1)
             for (i, _), k, row, full in zip(rows, best.tolist(), cosine, _fullness(counts)):
-                out[i] = (self.labels[k], float(min(1.0, max(0.0, row[k]))), bool(row[k] < self.least[k] * full))
+                out[i] = (self.labels[k], float(min(1.0, max(0.0, row[k]))), bool((row[k] < self.least[k] * full).all()))
         return out
 
 
@@ -95,16 +98,16 @@ def _cluster(x: np.ndarray, k: int, rounds: int = 15) -> np.ndarray:
 def fit(rows: list[tuple[str, np.ndarray]], per_label: int = CENTROIDS, slack: float = SLACK) -> CentroidModel:
     """From (label, n-gram counts) pairs."""
     if not rows:
-        return CentroidModel(np.zeros(BUCKETS, np.float32), np.zeros((0, BUCKETS), np.float32), [], np.zeros(0))
+        return CentroidModel(np.zeros(BUCKETS, np.float32), np.zeros((0, BUCKETS), np.float32), [], np.zeros((0, len(FULL))))
     counts = np.stack([c for _, c in rows])
-    model = CentroidModel((np.log((1 + len(rows)) / (1 + (counts > 0).sum(0))) + 0.05).astype(np.float32), np.zeros((0, BUCKETS)), [], np.zeros(0))
+    model = CentroidModel((np.log((1 + len(rows)) / (1 + (counts > 0).sum(0))) + 0.05).astype(np.float32), np.zeros((0, BUCKETS)), [], np.zeros((0, len(FULL))))
     x, full, names = model.vectors(counts), _fullness(counts), np.array([n for n, _ in rows])
     centroids, labels, least = [], [], []
     for name in sorted(set(names)):
         own = x[names == name]
         c = _cluster(own, per_label)
         cosine = own @ c.T
-        furthest = np.quantile(cosine.max(1) / full[names == name], OUTER)
+        furthest = np.quantile(cosine.max(1)[:, None] / full[names == name], OUTER, axis=0)
         centroids += list(c)
         labels += [str(name)] * len(c)
         least += [1 - slack * (1 - furthest)] * len(c)
