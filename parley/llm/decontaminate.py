@@ -17,6 +17,8 @@ from parley.llm.common import slices, stored
 _WORD = re.compile(r"\w+")
 #: Least word-edit similarity of a leak; embedding steps that are sampled from; sampled steps a table; tables; seed.
 SIMILARITY, STEPS, BITS, TABLES, SEED = 0.8, 20, 10, 12, 7
+#: Items of fewer words are searched by their words in common with every stretch, without the walk.
+SHORT_WORDS = 22
 #: Benchmark words that one pass over the documents looks for; more items are looked for in further passes. The index of
 #: a block, which is broadcast, takes about 400 bytes a word.
 BLOCK_WORDS = 200_000
@@ -75,17 +77,22 @@ class LeakIndex:
             self.bit[:, k] = [h >> j & 1 for j in range(steps)]
         self.bit[:, 0] = np.arange(steps) & 1
         self.samples = self._samples(rng, tables, min(bits, steps), steps)
-        #: items shorter than half a walk: matched word by word, at every start
-        self.short: dict[int, list[int]] = defaultdict(list)
+        #: short items: a stretch with at most the item's edits keeps one of any edits + 1 words unchanged, so those
+        #: words of the item that are rarest among the items, and where they stand, lead to every copy
+        self.short: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        often = np.bincount(np.concatenate([np.zeros(0, np.int64), *self.items]), minlength=self.size)
         places: list[tuple[int, int]] = []
         walks: list[np.ndarray] = [np.zeros((0, steps), np.int32)]
         for k, x in enumerate(self.items):
-            if len(x) < steps // 2:
-                self.short[int(x[0])].append(k)
+            if len(x) < max(SHORT_WORDS, steps // 2):
+                for at in np.argsort(often[x], kind="stable")[: self.most[k] + 1].tolist():
+                    self.short[int(x[at])].append((k, at))
                 continue
             starts = np.arange(max(1, len(x) - steps // 2))
             places += [(k, s) for s in starts.tolist()]
             walks.append(self._walk(x, starts))
+        self.leads = np.zeros(self.size, bool)
+        self.leads[list(self.short)] = True
         self.places = np.array(places, np.int64).reshape(-1, 2)
         walk = np.concatenate(walks)
         #: per table: sorted keys and the windows that have them; per sampled step, which symbols occur there, so that
@@ -126,12 +133,27 @@ class LeakIndex:
             at += self.bit[j, out[:, j]]
         return out
 
+    def _likely(self, x: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Those rows (short item, start) whose surroundings hold enough of the item's words, by counts over sums."""
+        keep = np.zeros(len(rows), bool)
+        for k in np.unique(rows[:, 0]).tolist():
+            own = np.flatnonzero(rows[:, 0] == k)
+            low = np.clip(rows[own, 1] - 2 * self.most[k], 0, len(x))
+            high = np.clip(rows[own, 1] + len(self.items[k]) + 3 * self.most[k], 0, len(x))
+            width = int((high - low).max())
+            at = low[:, None] + np.arange(width)
+            near = np.where(at < high[:, None], x[np.minimum(at, len(x) - 1)], 0)
+            shared = sum(np.minimum((near == w).sum(1), n) for w, n in zip(self.distinct[k].tolist(), self.repeats[k].tolist()))
+            keep[own] = shared >= len(self.items[k]) - self.most[k]
+        return rows[keep]
+
     def candidates(self, x: np.ndarray) -> np.ndarray:
         """Rows (item, where the item would begin in ``x``) of windows that meet an item's window in some table; sorted."""
         found = [np.zeros((0, 2), np.int64)]
         if self.short:
-            rows = [(k, at) for first, ks in self.short.items() for at in np.flatnonzero(x == first).tolist() for k in ks if np.array_equal(x[at : at + len(self.items[k])], self.items[k])]
-            found.append(np.array(rows, np.int64).reshape(-1, 2))
+            at = np.flatnonzero(self.leads[x])
+            rows = [(k, p - i) for p, w in zip(at.tolist(), x[at].tolist()) for k, i in self.short[w]]
+            found.append(self._likely(x, np.unique(np.array(rows, np.int64).reshape(-1, 2), axis=0)))
         walk = self._walk(x, np.arange(len(x)))
         for sample, (keys, order), seen in zip(self.samples, self.tables, self.seen):
             live = np.flatnonzero(seen[0][walk[:, sample[0]]])
@@ -167,8 +189,8 @@ class LeakIndex:
             first, stop = int(begins[d]), int(begins[d]) + len(docs[d])
             if (d, k) in best and best[d, k][0] == 0:
                 continue
-            # starts closer than the slack share a window
-            if last is not None and last[:2] == (d, k) and start - last[2] <= most:
+            # starts closer than the slack share a window; one of a short item's starts is always within its edits
+            if len(item) >= SHORT_WORDS and last is not None and last[:2] == (d, k) and start - last[2] <= most:
                 continue
             last = (d, k, start)
             low, high = max(first, start - 2 * most), min(stop, start + len(item) + 3 * most)
@@ -222,8 +244,8 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", ou
     """``docs`` with an array of the benchmark items that each whole text holds a copy of.
 
     A copy is a stretch of words (case and punctuation aside) whose edit distance to the item is at most 1 - similarity
-    of the item's words; the best stretch per item is reported. Null and empty texts and items leak nothing; an item
-    shorter than the walk counts only if it stands word for word; repeated items are reported as often as they occur
+    of the item's words; the best stretch per item is reported. Null and empty texts and items leak nothing; items
+    of fewer than SHORT_WORDS words are searched exactly, longer ones by walks of STEPS steps whatever their length; repeated items are reported as often as they occur
     with different ids; repeated documents give repeated results. With one block of items (bounded by ``block_words``)
     this is one map over the documents. With more, each block is a pass of its own over the texts, so that a worker
     holds one index at a time, and the documents are joined with what was found in their text.

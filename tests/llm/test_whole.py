@@ -2,7 +2,7 @@
 
 import random
 
-from parley.llm import line_dedup
+from parley.llm import decontaminate, line_dedup
 
 DOC = "doc_id long, text string"
 
@@ -47,3 +47,19 @@ def test_lines_by_edit_similarity_alone(spark):
         recall = {n: (round(sum(h) / len(h), 3), len(h)) for n, h in by_length.items()}
         print(how, recall)
         assert all(r >= least or count < 10 for r, count in recall.values()), recall
+
+
+def test_short_items_with_edits():
+    rng = random.Random(9)
+    items = [(n * 100 + k, [_word(rng) for _ in range(n)]) for n in (1, 3, 5, 7, 9, 10, 12, 15, 18, 21) for k in range(20)]
+    index = decontaminate.LeakIndex(items)
+    docs, wanted = [], []
+    for i, ws in items:
+        x = list(ws)
+        for _ in range(len(ws) // 5):
+            j = rng.randrange(len(x))
+            x[j : j + 1] = rng.choice(([], ["new"], [x[j], "more"]))
+        docs.append(["lead"] * rng.randrange(9) + x + ["tail"] * rng.randrange(5))
+        wanted.append(i)
+    assert all(any(r[0] == i for r in found) for i, found in zip(wanted, index.leaks(docs)))
+    assert index.leaks([[]]) == [[]]
