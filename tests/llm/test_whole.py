@@ -63,3 +63,13 @@ def test_short_items_with_edits():
         wanted.append(i)
     assert all(any(r[0] == i for r in found) for i, found in zip(wanted, index.leaks(docs)))
     assert index.leaks([[]]) == [[]]
+
+
+def test_lines_of_null_and_repeated_ids(spark):
+    import corpus_pipeline as p
+
+    rows = [(None, "x y z\nx y z"), (None, "a b\nunique line"), (7, "q r s\nq r s"), (7, "c d\nanother line")]
+    docs = spark.createDataFrame(rows, DOC).selectExpr("*", "length(text) n_chars")
+    cut = p.lines(spark, docs, "")
+    assert sorted(r.text for r in cut.collect()) == ["a b\nunique line", "c d\nanother line", "q r s", "x y z"]
+    assert sorted(r.text for r in p.near_duplicates(spark, cut, "").collect()) == ["a b\nunique line", "c d\nanother line", "q r s", "x y z"]
