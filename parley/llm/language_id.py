@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from parley.llm.common import frugal, slices
 
@@ -132,9 +133,10 @@ def _sparse(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, label_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", sample_rows: int = SAMPLE_ROWS, per_label: int = CENTROIDS) -> CentroidModel:
-    """Fit on a sample of the labelled rows, at most about ``sample_rows`` in all and equally many per label.
+    """Fit on a sample of the labelled rows, at most ``sample_rows`` (or one per label) in all and equally many per label.
 
-    The sample is the rows whose hashed id lies below a bound, so it is the same in every run. Only sparse n-gram counts
+    The sample is the rows whose hashed id and text lie below a bound, equal rows once and of each label those of least
+    hash, so it is the same in every run. Labels beyond the ``MOST_LABELS`` most frequent are not learned. Only sparse n-gram counts
     of the sample reach the driver. Rows with a null label or text are not used; without rows nothing is learned.
     """
     rows = docs.select(F.col(label_col).cast("string").alias("label"), F.col(text_col).alias("text"), F.col(id_col).alias("id")).where("label is not null and text is not null")
@@ -143,7 +145,9 @@ def train(docs: DataFrame, label_col: str = "lang", text_col: str = "text", id_c
         return fit([])
     each = max(1, sample_rows // len(sizes))
     share = F.create_map(*[F.lit(x) for r in sizes for x in (r["label"], min(1.0, each / r["count"]))])
-    kept = rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < F.coalesce(F.element_at(share, F.col("label")), F.lit(0.0)) * float(1 << 30))
+    rows = rows.withColumn("hash", F.xxhash64("id", "text"))
+    kept = rows.where(F.pmod("hash", F.lit(1 << 30)) < F.coalesce(F.element_at(share, F.col("label")), F.lit(0.0)) * float(1 << 30))
+    kept = kept.dropDuplicates(["label", "hash"]).withColumn("nth", F.row_number().over(Window.partitionBy("label").orderBy(F.pmod("hash", F.lit(1 << 30)), "hash"))).where(F.col("nth") <= each)
     sample = kept.select("label", "text").mapInArrow(_sparse, SPARSE).toArrow()
     out = []
     for label, at, n in zip(*(sample.column(i).to_pylist() for i in range(3))):

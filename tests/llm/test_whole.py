@@ -2,7 +2,7 @@
 
 import random
 
-from parley.llm import decontaminate, line_dedup
+from parley.llm import decontaminate, language_id, line_dedup
 
 DOC = "doc_id long, text string"
 
@@ -73,3 +73,11 @@ def test_lines_of_null_and_repeated_ids(spark):
     cut = p.lines(spark, docs, "")
     assert sorted(r.text for r in cut.collect()) == ["a b\nunique line", "c d\nanother line", "q r s", "x y z"]
     assert sorted(r.text for r in p.near_duplicates(spark, cut, "").collect()) == ["a b\nunique line", "c d\nanother line", "q r s", "x y z"]
+
+
+def test_language_sample_of_null_and_repeated_ids(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "fit", lambda rows, *_: rows)
+    for i in ("null", "7"):
+        docs = spark.range(3000).selectExpr(f"cast({i} as long) doc_id", "concat('some words of row ', id) text", "if(id % 2 = 0, 'a', 'b') lang")
+        sample = language_id.train(docs, sample_rows=100)
+        assert 40 <= len(sample) <= 100 and {r[0] for r in sample} == {"a", "b"}
