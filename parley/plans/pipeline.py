@@ -19,7 +19,7 @@ log = logging.getLogger("parley")
 
 def tables(raw: DataFrame, threshold: float = 5.0) -> dict[str, DataFrame]:
     """Lazy tables of the stages; ``raw`` has row_id, instruction, response, category, intent and perhaps flags."""
-    cleaned = clean.clean(raw)
+    cleaned = clean.clean(raw, full=True)
     filtered = score.passing(cleaned, threshold)
     enriched = enrich.enrich(filtered)
     return {"raw": raw, "cleaned": cleaned, "filtered": filtered, "enriched": enriched, "augmented": augment.augment(enriched)}
@@ -32,7 +32,7 @@ def run(spark: SparkSession, raw: DataFrame, base_dir: str, threshold: float = 5
     """
     keep = lambda df, name: (df.write.mode("overwrite").parquet(f"{base_dir}/data/{name}"), spark.read.parquet(f"{base_dir}/data/{name}"))[1]
     io.snapshot(raw, f"{base_dir}/data/raw")
-    cleaned = keep(clean.clean(raw), "cleaned")
+    cleaned = keep(clean.clean(raw, full=True), "cleaned")
     filtered = score.passing(cleaned, threshold)
     augmented = keep(augment.augment(enrich.enrich(filtered)), "augmented")
     enriched = augmented.where("variant_no = 0")
@@ -45,7 +45,7 @@ def run(spark: SparkSession, raw: DataFrame, base_dir: str, threshold: float = 5
     counts = lambda df, *by: {"/".join(map(str, r[:-1])): r[-1] for r in df.groupBy(*by).count().collect()}
     out = {
         "eda": report.as_dict(profile.profile(raw)) | report.as_dict(profile.length_stats(raw)),
-        "cleaning": report.as_dict(clean.removal_report(raw)),
+        "cleaning": report.as_dict(clean.removal_report(raw, full=True)),
         "quality": report.as_dict(score.report(cleaned, threshold)),
         "enrichment": {c: counts(enriched, c) for c in enrich.LABELS},
         "augmentation": counts(augmented, "augmentation_type"),
