@@ -5,14 +5,16 @@ from __future__ import annotations
 import atexit
 import ctypes
 import functools
+import re
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Rows of one Arrow batch are decoded to Python strings in slices of about this many bytes, so that memory does
 #: not follow the batch size. A single longer text is a slice of its own.
@@ -36,9 +38,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, from ``spark.checkpoint.dir``; set to a local folder only where it is unset."""
+    """The folder that all executors share, from ``spark.checkpoint.dir``. Where it is unset, a temporary folder serves if
+    driver and executors are one process; on a cluster that is an error, as executors would not see each other's files."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = spark.conf.get("parley.scratch.dir", None)
         if not path:
             path = f"file://{tempfile.mkdtemp(prefix='parley-')}"
@@ -69,7 +74,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/parley-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     atexit.register(_delete_quietly, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._parley_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the table behind a frame of ``stored`` that nothing reads any more."""
+    _delete_quietly(df.sparkSession, df._parley_path)
 
 
 def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[list[str | None]]:
@@ -104,11 +116,11 @@ def frugal(task: Callable[..., Iterator]) -> Callable[..., Iterator]:
 def connected(edges: DataFrame, name: str) -> DataFrame:
     """Connected components of ``edges`` (u, v: any one orderable type), as rows (node, root): root is the least node.
 
-    Alternating large-star and small-star steps over Parquet tables in the shared folder. Each step is one aggregate
-    and one equi-join, which adaptive execution splits where a node has very many links; nothing reaches the driver
-    but counts. Nodes without links have no row. Empty input gives an empty result.
+    Alternating large-star and small-star steps over Parquet tables in the shared folder; a step's table is deleted once
+    the next one is written. Each step is one aggregate and one equi-join, which adaptive execution splits where a node
+    has very many links; nothing reaches the driver but counts. Nodes without links have no row. Empty input gives an
+    empty result.
     """
-    from pyspark.sql import functions as F
 
     def with_low(links: DataFrame) -> DataFrame:
         return links.join(links.groupBy("u").agg(F.min("v").alias("low")), "u")
@@ -120,7 +132,8 @@ def connected(edges: DataFrame, name: str) -> DataFrame:
         both = links.union(links.selectExpr("v u", "u v"))
         large = with_low(both).where("v > u").selectExpr("v u", "least(u, low) v").distinct()
         small = with_low(large)
-        links = stored(small.where("v <> low").selectExpr("v u", "low v").union(small.selectExpr("u", "low v")).distinct(), f"{name}-links")
+        older, links = links, stored(small.where("v <> low").selectExpr("v u", "low v").union(small.selectExpr("u", "low v")).distinct(), f"{name}-links")
+        discard(older)
         now = links.agg(*mark).first()
         if now == before:
             break
@@ -128,13 +141,81 @@ def connected(edges: DataFrame, name: str) -> DataFrame:
     return links.selectExpr("u node", "v root").union(links.selectExpr("v node", "v root").distinct())
 
 
-def batches(rows: Iterable[tuple], schema: pa.Schema, most: int = 20_000) -> Iterator[pa.RecordBatch]:
-    """Tuples as Arrow batches of at most ``most`` rows."""
-    held: list[tuple] = []
-    for row in rows:
-        held.append(row)
-        if len(held) >= most:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*held), schema)], schema=schema)
-            held = []
-    if held:
-        yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*held), schema)], schema=schema)
+#: Solves a set of candidates: (payloads, labels, asked) to new labels. Members whose labels are equal are joined already;
+#: of the pairs that hold a member of ``asked``, those that link join their labels, the lesser of which stays.
+Solver = Callable[[list, list, list[bool]], list]
+
+
+def _solved(solve: Solver):
+    """From rows (task, node, label, asked, payload), sorted by task: (node, label, joined) where ``joined`` is the new label."""
+
+    @frugal
+    def solved(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, held, kind = None, {}, None
+
+        def flush() -> pa.RecordBatch:
+            nodes = sorted(held)
+            rows = [held[n] for n in nodes]
+            labels = [r[0] for r in rows]
+            new = solve([r[2] for r in rows], labels, [r[1] for r in rows])
+            return pa.RecordBatch.from_arrays([pa.array(nodes, kind), pa.array(labels, kind), pa.array(new, kind)], names=["node", "label", "joined"])
+
+        for part in parts:
+            kind = part.schema.field("node").type
+            for t, node, label, asked, payload in zip(*(c.to_pylist() for c in part.columns)):
+                if t != task:
+                    if held:
+                        yield flush()
+                    task, held = t, {}
+                if asked or node not in held:
+                    held[node] = (label, asked, payload)
+        if held:
+            yield flush()
+
+    return solved
+
+
+def joined_sets(members: DataFrame, solve: Solver, name: str) -> DataFrame:
+    """Rows (node, root) of the links inside candidate sets; ``members`` has node, part (the set), size (the share of one
+    task that a member may fill at worst) and payload. All pairs of a set count, however large it is.
+
+    A set that fits is solved in one task. A larger one is cut into blocks: first each block alone, then one member of
+    each group found, which joins most of what links; what is still apart after that is compared as a grid of blocks, the
+    members outside a set's largest group against all, so that only sets which really fall apart cost more than a pass.
+    """
+    kind = members.schema["node"].dataType.simpleString()
+    rows = f"node {kind}, label {kind}, joined {kind}"
+
+    def run(tasks: DataFrame) -> DataFrame:
+        return tasks.select("task", "node", "label", "asked", "payload").repartition("task").sortWithinPartitions("task").mapInArrow(_solved(solve), rows)
+
+    def blocked(df: DataFrame, count: str) -> Column:
+        return F.xxhash64("part", F.pmod(F.xxhash64("node"), F.col(count)))
+
+    parts = members.groupBy("part").agg(F.ceil(F.sum("size")).cast("int").alias("blocks"))
+    cut = stored(members.join(parts.withColumn("blocks", F.greatest("blocks", F.lit(1))), "part"), f"{name}-sets")
+    first = stored(run(cut.select(blocked(cut, "blocks").alias("task"), "node", F.col("node").alias("label"), F.lit(True).alias("asked"), "payload")).select("node", F.col("joined").alias("label")), f"{name}-blocks")
+    large = cut.where("blocks > 1")
+    if not large.select(F.lit(1)).head(1):
+        return first.selectExpr("node", "label root")
+    grouped = stored(large.join(first, "node"), f"{name}-large")
+    # one member of each group
+    leads = grouped.where("node = label").select("part", "node", "size", "payload")
+    few = leads.groupBy("part").agg(F.greatest(F.lit(1), F.ceil(F.sum("size")).cast("int")).alias("few"))
+    second = run(leads.join(few, "part").select(blocked(leads, "few").alias("task"), "node", F.col("node").alias("label"), F.lit(True).alias("asked"), "payload"))
+    second = stored(second.select(F.col("node").alias("label"), F.col("joined").alias("lead")), f"{name}-leads")
+    grouped = stored(grouped.join(second, "label").drop("label").withColumnRenamed("lead", "label"), f"{name}-grouped")
+    # what is apart still: members outside the largest group of their set against all of the set
+    groups = grouped.groupBy("part", "label").agg(F.count("*").alias("n"))
+    largest = groups.groupBy("part").agg(F.max_by("label", F.struct("n", "label")).alias("largest"), F.count("*").alias("groups")).where("groups > 1")
+    apart = grouped.join(largest, "part").withColumn("asked", F.col("label") != F.col("largest"))
+    sides = apart.groupBy("part").agg(F.greatest(F.lit(1), F.ceil(F.sum(F.when(F.col("asked"), F.col("size"))))).cast("int").alias("asking"))
+    apart = apart.join(sides, "part")
+    row, column = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"), F.pmod(F.xxhash64("node", F.lit(1)), F.col("asking")).cast("int")
+    grid = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    across = apart.select("*", row.alias("a"), grid("asking").alias("b")).withColumn("asked", F.lit(False))
+    down = apart.where("asked").select("*", column.alias("b"), grid("blocks").alias("a"))
+    third = run(across.unionByName(down).withColumn("task", F.xxhash64("part", "a", "b")))
+    last = connected(third.selectExpr("label u", "joined v"), f"{name}-last").withColumnsRenamed({"node": "label", "root": "last"})
+    final = grouped.join(last, "label", "left").select("node", F.coalesce("last", "label").alias("root"))
+    return first.join(large.select("node"), "node", "left_anti").selectExpr("node", "label root").union(final)
