@@ -175,47 +175,47 @@ def _solved(solve: Solver):
     return solved
 
 
-def joined_sets(members: DataFrame, solve: Solver, name: str) -> DataFrame:
-    """Rows (node, root) of the links inside candidate sets; ``members`` has node, part (the set), size (the share of one
-    task that a member may fill at worst) and payload. All pairs of a set count, however large it is.
+def joined_sets(sets: DataFrame, fetch: Callable[[DataFrame], DataFrame], solve: Solver, name: str) -> DataFrame:
+    """Rows (node, root) of the links inside candidate sets; ``sets`` is a table (read more than once) with node, part (the
+    set) and size (the share of one task that a member may fill at worst); ``fetch`` adds the payload to rows (task, node,
+    label, asked). All pairs of a set count, however large it is; a set's repeated nodes are one.
 
     A set that fits is solved in one task. A larger one is cut into blocks: first each block alone, then one member of
     each group found, which joins most of what links; what is still apart after that is compared as a grid of blocks, the
     members outside a set's largest group against all, so that only sets which really fall apart cost more than a pass.
     """
-    kind = members.schema["node"].dataType.simpleString()
-    rows = f"node {kind}, label {kind}, joined {kind}"
+    kind = sets.schema["node"].dataType.simpleString()
 
     def run(tasks: DataFrame) -> DataFrame:
-        return tasks.select("task", "node", "label", "asked", "payload").repartition("task").sortWithinPartitions("task").mapInArrow(_solved(solve), rows)
+        rows = fetch(tasks.select("task", "node", "label", "asked")).select("task", "node", "label", "asked", "payload")
+        return rows.repartition("task").sortWithinPartitions("task").mapInArrow(_solved(solve), f"node {kind}, label {kind}, joined {kind}")
 
-    def blocked(df: DataFrame, count: str) -> Column:
-        return F.xxhash64("part", F.pmod(F.xxhash64("node"), F.col(count)))
+    def blocked(df: DataFrame, count: str) -> DataFrame:
+        return df.select(F.xxhash64("part", F.pmod(F.xxhash64("node"), F.col(count))).alias("task"), "node", F.col("node").alias("label"), F.lit(True).alias("asked"))
 
-    parts = members.groupBy("part").agg(F.ceil(F.sum("size")).cast("int").alias("blocks"))
-    cut = stored(members.join(parts.withColumn("blocks", F.greatest("blocks", F.lit(1))), "part"), f"{name}-sets")
-    first = stored(run(cut.select(blocked(cut, "blocks").alias("task"), "node", F.col("node").alias("label"), F.lit(True).alias("asked"), "payload")).select("node", F.col("joined").alias("label")), f"{name}-blocks")
+    parts = sets.groupBy("part").agg(F.greatest(F.lit(1), F.ceil(F.sum("size")).cast("int")).alias("blocks"))
+    cut = stored(sets.join(parts, "part"), f"{name}-sets")
+    first = stored(run(blocked(cut, "blocks")).select("node", F.col("joined").alias("label")), f"{name}-blocks")
     large = cut.where("blocks > 1")
-    if not large.select(F.lit(1)).head(1):
-        return first.selectExpr("node", "label root")
-    grouped = stored(large.join(first, "node"), f"{name}-large")
+    if not large.head(1):
+        return first.selectExpr("node", "label root").distinct()
+    grouped = large.join(first, "node")
     # one member of each group
-    leads = grouped.where("node = label").select("part", "node", "size", "payload")
+    leads = grouped.where("node = label").select("part", "node", "size")
     few = leads.groupBy("part").agg(F.greatest(F.lit(1), F.ceil(F.sum("size")).cast("int")).alias("few"))
-    second = run(leads.join(few, "part").select(blocked(leads, "few").alias("task"), "node", F.col("node").alias("label"), F.lit(True).alias("asked"), "payload"))
-    second = stored(second.select(F.col("node").alias("label"), F.col("joined").alias("lead")), f"{name}-leads")
+    second = run(blocked(leads.join(few, "part"), "few")).select(F.col("node").alias("label"), F.col("joined").alias("lead")).distinct()
     grouped = stored(grouped.join(second, "label").drop("label").withColumnRenamed("lead", "label"), f"{name}-grouped")
     # what is apart still: members outside the largest group of their set against all of the set
     groups = grouped.groupBy("part", "label").agg(F.count("*").alias("n"))
     largest = groups.groupBy("part").agg(F.max_by("label", F.struct("n", "label")).alias("largest"), F.count("*").alias("groups")).where("groups > 1")
     apart = grouped.join(largest, "part").withColumn("asked", F.col("label") != F.col("largest"))
-    sides = apart.groupBy("part").agg(F.greatest(F.lit(1), F.ceil(F.sum(F.when(F.col("asked"), F.col("size"))))).cast("int").alias("asking"))
+    sides = apart.groupBy("part").agg(F.greatest(F.lit(1), F.ceil(F.sum(F.when(F.col("asked"), F.col("size")))).cast("int")).alias("asking"))
     apart = apart.join(sides, "part")
     row, column = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"), F.pmod(F.xxhash64("node", F.lit(1)), F.col("asking")).cast("int")
     grid = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     across = apart.select("*", row.alias("a"), grid("asking").alias("b")).withColumn("asked", F.lit(False))
     down = apart.where("asked").select("*", column.alias("b"), grid("blocks").alias("a"))
     third = run(across.unionByName(down).withColumn("task", F.xxhash64("part", "a", "b")))
-    last = connected(third.selectExpr("label u", "joined v"), f"{name}-last").withColumnsRenamed({"node": "label", "root": "last"})
+    last = connected(third.selectExpr("label u", "joined v"), f"{name}-last").withColumnsRenamed({"node": "label", "root": "last"}).distinct()
     final = grouped.join(last, "label", "left").select("node", F.coalesce("last", "label").alias("root"))
-    return first.join(large.select("node"), "node", "left_anti").selectExpr("node", "label root").union(final)
+    return first.join(large.select("node").distinct(), "node", "left_anti").selectExpr("node", "label root").union(final).distinct()

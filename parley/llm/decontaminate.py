@@ -196,7 +196,7 @@ class LeakIndex:
             low, high = max(first, start - 2 * most), min(stop, start + len(item) + 3 * most)
             window = x[low:high]
             # words in common, repeats counted, are at least the item's words less the edits
-            if int(np.minimum(np.bincount(window, minlength=self.size)[self.distinct[k]], self.repeats[k]).sum()) < len(item) - most:
+            if int(np.minimum((window[:, None] == self.distinct[k]).sum(0), self.repeats[k]).sum()) < len(item) - most:
                 continue
             if (hit := edit_span(item, window, most)) is not None:
                 hit = (hit[0], low - first + hit[1], low - first + hit[2])
@@ -271,8 +271,10 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", ou
         found = one if found is None else found.union(one)
         block, following = following, next(blocks, None)
     found = found.groupBy("_text_key").agg(F.flatten(F.collect_list("_found")).alias("_found"))
-    both = docs.withColumn("_key_of_text", F.sha2(text, 256)).join(found, F.col("_key_of_text") == F.col("_text_key"), "left")
-    return both.select(*[F.col(f"`{c}`") for c in docs.columns if c != out_col], F.coalesce("_found", none).alias(out_col))
+    # the row travels as one struct, so that its columns may have any names
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.sha2(text, 256).alias("key"))
+    both = rows.join(found, F.col("key") == F.col("_text_key"), "left")
+    return both.select(*[F.col("row")[c].alias(c) for c in docs.columns if c != out_col], F.coalesce("_found", none).alias(out_col))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

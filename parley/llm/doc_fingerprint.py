@@ -150,33 +150,34 @@ def fingerprint(text: Column) -> Column:
 RESULT = "doc_id {id}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
-def compare_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows_per_range: int = 500, most_ranges: int = 20_000) -> DataFrame:
+def compare_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows_per_range: int = 500, most_ranges: int = 100_000) -> DataFrame:
     """Per document: n_chars, the sha256 of its edited text, both fingerprints, and the likeness of its fingerprint to
     the edited text's and to that of the next document (ascending id; after the last comes the first).
 
-    Texts move once: ids are cut into ranges, each range is one bucket, and the least document of a range goes to the
-    range before it as well. A task reads its buckets in order and holds two documents at a time. Null texts count as
-    empty; null ids come first; rows of one id are ordered by their text, and equal rows follow each other; a single
-    row follows itself; other columns are not looked at; an empty table gives an empty result.
+    Texts move once: rows are cut into ranges of (id, hash of the text), each range is one bucket, and the least document
+    of a range goes to the range before it as well. An id of very many rows, or null, is cut into ranges by the hash. A
+    task reads its buckets in order and holds two documents at a time. Beyond ``most_ranges`` ranges, which bounds what
+    the driver holds, ranges grow instead. Null texts count as empty; null ids come first; rows of one id are ordered by
+    a hash of their text, and equal rows follow each other (in one range); a single row follows itself; other columns are
+    not looked at; an empty table gives an empty result; an id that is no integer raises TypeError.
     """
     docs = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = docs.schema["doc_id"].dataType
-    n = docs.count()
-    cuts = min(most_ranges, max(1, -(-n // rows_per_range)))  # what the driver holds of them stays bounded
-    tie = F.xxhash64("text")
-    # numeric ids are cut at quantiles; other ids all stand in ranges found by sampling their order
-    if kind.typeName() in ("long", "integer", "short", "byte"):
-        limits = sorted({*docs.approxQuantile("doc_id", [k / cuts for k in range(1, cuts)], 1 / (cuts * 8 + 8) if cuts < 2_000 else 1e-4)}) if cuts > 1 else []
-        at = F.coalesce(F.array_size(F.filter(F.lit([float(x) for x in limits]), lambda x: x <= F.col("doc_id"))), F.lit(0)) if 0 < len(limits) <= 64 else _range_of(limits)
-    else:
+    if kind.typeName() not in ("long", "integer", "short", "byte"):
         raise TypeError(f"{id_col} has to be of an integer type")
-    ranged = docs.withColumn("_range", at.cast("int"))
+    n, nulls = docs.agg(F.count("*"), F.count_if(F.col("doc_id").isNull())).first()
+    rows = max(rows_per_range, -(-n // most_ranges))
+    tie = F.xxhash64("text")
+    cuts = -(-(n - nulls) // rows)
+    found = docs.approxQuantile("doc_id", [k / cuts for k in range(1, cuts)], max(1 / (8 * cuts + 8), 1e-5)) if cuts > 1 else []
+    limits = _limits([None] * (nulls // rows) + sorted(int(x) for x in found))
+    ranged = docs.withColumn("_range", _range_of(limits)(F.col("doc_id").cast("long"), tie))
     # one row per range: its least (id, tie)
     leasts = sorted(ranged.groupBy("_range").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("a"), "doc_id", tie.alias("t"))).alias("m")).collect(), key=lambda r: r[0])
     if not leasts:
         return docs.sparkSession.createDataFrame([], RESULT.format(id=kind.simpleString()))
     order = [r[0] for r in leasts]
-    before = {r["m"]["doc_id"]: (r["m"]["t"], order[i - 1]) for i, r in enumerate(leasts)}
+    before = {(r["m"]["doc_id"], r["m"]["t"]): order[i - 1] for i, r in enumerate(leasts)}
     ahead = _ahead(before)
     sent = ranged.withColumn("_to", F.explode(F.array_append(F.transform(ahead(F.col("doc_id"), tie), lambda x: F.struct(x.alias("r"), F.lit(1).alias("late"))), F.struct(F.col("_range").alias("r"), F.lit(0).alias("late")))))
     sent = sent.select(F.col("_to.r").alias("r"), F.col("_to.late").alias("late"), "doc_id", "text")
@@ -188,13 +189,36 @@ def compare_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     )
 
 
-def _range_of(limits: list[float]) -> Column:
+def _limits(cuts: list[int | None]) -> list[tuple[int, int]]:
+    """Lower limits (id, hash) of all ranges but the first. Where an id is cut k times its hashes are cut into k ranges; null ids
+    count as the least."""
+    out = []
+    for i, k in Counter(cuts).items():
+        first = [] if i is None else [(i, -(2**63))]
+        out += first + [(NULL_ID if i is None else i, -(2**63) + (j << 64) // (k + (i is None))) for j in range(1, k + (i is None))]
+    return sorted(out)
+
+
+NULL_ID = -(2**63)
+
+
+def _range_of(limits: list[tuple[int, int]]):
+    """The number of limits that a row reaches."""
+    ids, ties = (np.array([x[k] for x in limits], np.int64) for k in range(2))
+
     @F.arrow_udf("int")
-    def find(ids: pa.Array) -> pa.Array:
-        at = np.searchsorted(np.array(limits), ids.fill_null(-(2**62)).to_numpy(zero_copy_only=False), side="right")
+    def find(own: pa.Array, hashes: pa.Array) -> pa.Array:
+        i, t = own.fill_null(NULL_ID).to_numpy(zero_copy_only=False), hashes.to_numpy(zero_copy_only=False)
+        # that least id itself comes after all nulls
+        t = np.where((i == NULL_ID) & own.is_valid().to_numpy(zero_copy_only=False), 2**63 - 1, t)
+        low, high = np.searchsorted(ids, i, "left"), np.searchsorted(ids, i, "right")
+        at = low.copy()
+        for k in np.unique(low[high > low]).tolist():  # the ids that are limits themselves
+            rows = np.flatnonzero((low == k) & (high > low))
+            at[rows] = k + np.searchsorted(ties[k : high[rows[0]]], t[rows], "right")
         return pa.array(at.astype(np.int32))
 
-    return find(F.col("doc_id"))
+    return find
 
 
 def _ahead(before: dict):
@@ -202,7 +226,7 @@ def _ahead(before: dict):
 
     @F.arrow_udf("array<int>")
     def find(ids: pa.Array, ties: pa.Array) -> pa.Array:
-        out = [[b[1]] if (b := before.get(i)) and b[0] == t else [] for i, t in zip(ids.to_pylist(), ties.to_pylist())]
+        out = [[b] if (b := before.get((i, t))) is not None else [] for i, t in zip(ids.to_pylist(), ties.to_pylist())]
         return pa.array(out, pa.list_(pa.int32()))
 
     return find

@@ -15,13 +15,16 @@ from pyspark.sql import functions as F
 from parley.llm.boosting import BoostedTrees
 from parley.llm.common import slices
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+#: Comments, declarations, tags; a quote counts after an equals sign, and if it is closed; a tag cut off by the page's end.
+_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?>[^>=]+|=\s*(?>"[^"]*"|'[^']*')?)*+)>|</?[a-zA-Z][^>]*\Z""", re.S)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _SPACE = re.compile(r"\s+")
 
 # Element names of HTML, by what they mean for text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe object svg math xmp noembed noframes".split())
+RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes".split())
+#: Of these, the ones that hold the rest of the page if they are not closed.
+SWALLOWS = frozenset("script style textarea title".split())
 BLOCK = frozenset(
     "html body article section nav aside header footer main div p ul ol li dl dt dd table thead tbody tfoot tr td th caption"
     " h1 h2 h3 h4 h5 h6 blockquote pre figure figcaption form fieldset details summary address center hr dialog menu hgroup".split()
@@ -105,12 +108,13 @@ def parse(page: str) -> Node:
             if found is not None:
                 at = found.up
         node = Node(tag, at, m[3])
-        if tag in RAW:
+        closed = m[3].rstrip().endswith("/")
+        if tag in RAW and not (closed and tag not in SWALLOWS):
             close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, position)
-            stop = close.start() if close else n
-            Node("#text", node, text=page[position:stop])
-            position = close.end() if close else n
-        elif tag not in VOID and not m[3].rstrip().endswith("/"):
+            if close or tag in SWALLOWS:
+                Node("#text", node, text=page[position : close.start() if close else n])
+                position = close.end() if close else n
+        elif tag not in VOID and tag not in RAW and not closed:
             at = node
     return root
 

@@ -14,9 +14,8 @@ from pyspark.sql.window import Window
 
 from parley.llm.common import frugal, slices
 
-#: Hashed buckets of the character 1-, 2- and 3-grams; centroids per language; bound of the labelled sample; bound of
-#: the labels that are learned (the most frequent ones).
-BUCKETS, CENTROIDS, SAMPLE_ROWS, MOST_LABELS = 4096, 4, 2_000, 256
+#: Hashed buckets of the character 1-, 2- and 3-grams; centroids per language; bound of the labelled sample.
+BUCKETS, CENTROIDS, SAMPLE_ROWS = 4096, 4, 2_000
 #: A text is rejected if it is further from its centroid than this many times the distance within which all but OUTER
 #: of the label's sample lie. Cosines of texts with fewer distinct n-grams than FULL are raised first: a short text of
 #: the language lies further out, about as the root of its n-grams. Where that levels off depends on how varied a corpus
@@ -136,17 +135,24 @@ def train(docs: DataFrame, label_col: str = "lang", text_col: str = "text", id_c
     """Fit on a sample of the labelled rows, at most ``sample_rows`` (or one per label) in all and equally many per label.
 
     The sample is the rows whose hashed id and text lie below a bound, equal rows once and of each label those of least
-    hash, so it is the same in every run. Labels beyond the ``MOST_LABELS`` most frequent are not learned. Only sparse n-gram counts
-    of the sample reach the driver. Rows with a null label or text are not used; without rows nothing is learned.
+    hash, so it is the same in every run. Every label is learned, however many there are; the model takes some 64 KB a
+    label. Only the labels' counts and sparse n-gram counts of the sample reach the driver. Rows with a null label or text
+    are not used; without rows nothing is learned.
     """
     rows = docs.select(F.col(label_col).cast("string").alias("label"), F.col(text_col).alias("text"), F.col(id_col).alias("id")).where("label is not null and text is not null")
-    sizes = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(MOST_LABELS).collect()
+    sizes = rows.groupBy("label").count().collect()
     if not sizes:
         return fit([])
     each = max(1, sample_rows // len(sizes))
-    share = F.create_map(*[F.lit(x) for r in sizes for x in (r["label"], min(1.0, each / r["count"]))])
+    # somewhat more than needed, so that no label is left out by chance; the surplus goes below
+    shares = {r["label"]: min(1.0, (1.5 * each + 30) / r["count"]) for r in sizes}
+
+    @F.arrow_udf("double")
+    def share(labels: pa.Array) -> pa.Array:
+        return pa.array([shares[x] for x in labels.to_pylist()], pa.float64())
+
     rows = rows.withColumn("hash", F.xxhash64("id", "text"))
-    kept = rows.where(F.pmod("hash", F.lit(1 << 30)) < F.coalesce(F.element_at(share, F.col("label")), F.lit(0.0)) * float(1 << 30))
+    kept = rows.where(F.pmod("hash", F.lit(1 << 30)) < share("label") * float(1 << 30))
     kept = kept.dropDuplicates(["label", "hash"]).withColumn("nth", F.row_number().over(Window.partitionBy("label").orderBy(F.pmod("hash", F.lit(1 << 30)), "hash"))).where(F.col("nth") <= each)
     sample = kept.select("label", "text").mapInArrow(_sparse, SPARSE).toArrow()
     out = []

@@ -16,23 +16,72 @@ from parley.llm.common import slices
 #: (label, phrase): a place is where the phrase's words stand consecutively.
 BASE = (("cc-by", "cc by"), ("gpl", "general public license"), ("reserved", "all rights reserved"))
 
-#: (label, template). ``[[ ]]`` encloses an optional region, ``{{a-b}}`` stands for a to b words of any wording;
-#: all other words are mandatory and have to match exactly, in order.
+#: Wording of well-known licenses and notices, as (label, template). ``[[ ]]`` encloses an optional region,
+#: ``{{a-b}}`` stands for a to b words of any wording; all other words are mandatory and have to match exactly, in order.
+#: Case and punctuation do not count.
 TEMPLATES = (
     ("mit", "released under the mit license"),
     ("mit", "licensed under [[the terms of]] the mit license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
+    ("mit-text", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
+     files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify,
+     merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished
+     to do so, subject to the following conditions: The above copyright notice and this permission notice [[(including the next
+     paragraph)]] shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT
+     WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR
+     PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL {{1-20}} BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF
+     CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""),
+    ("isc-text", """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided
+     that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND {{1-12}} DISCLAIMS
+     ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL {{1-12}} BE
+     LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR
+     PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR
+     PERFORMANCE OF THIS SOFTWARE."""),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
+    ("bsd-text", """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+     conditions are met: [[1.]] Redistributions of source code must retain the above copyright notice, this list of conditions and the
+     following disclaimer. [[2.]] Redistributions in binary form must reproduce the above copyright notice, this list of conditions and
+     the following disclaimer in the documentation and/or other materials provided with the distribution. [[[[3.]] Neither the name of
+     {{1-20}} nor the names of its contributors may be used to endorse or promote products derived from this software without specific
+     prior written permission.]] THIS SOFTWARE IS PROVIDED BY {{1-20}} "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT
+     LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL {{1-20}}
+     BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO,
+     PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY
+     THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF
+     THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""),
+    ("zlib-text", """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any
+     damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including
+     commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: [[1.]] The origin of this
+     software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product,
+     an acknowledgment in the product documentation would be appreciated but is not required. [[2.]] Altered source versions must be
+     plainly marked as such, and must not be misrepresented as being the original software. [[3.]] This notice may not be removed or
+     altered from any source distribution."""),
+    ("unlicense-text", """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile,
+     sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial,
+     and by any means."""),
     ("apache", "licensed under the apache license [[version {{1-2}}]]"),
+    ("apache-notice", """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the
+     License. You may obtain a copy of the License at {{1-10}} Unless required by applicable law or agreed to in writing, software
+     distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or
+     implied. See the License for the specific language governing permissions and limitations under the License."""),
     ("gpl-notice", "licensed under the gnu [[lesser]] general public license [[as published by the free software foundation]] [[[[either]] version {{1-2}} [[of the license]] [[or at your option any later version]]]]"),
     ("gpl-notice", "under the terms of the gnu [[lesser]] general public license"),
+    ("gpl-notice-text", """{{1-6}} is free software[[:]] you can redistribute it and/or modify it under the terms of the GNU [[Lesser]] [[Affero]] General Public
+     License as published by the Free Software Foundation[[,]] either version {{1-2}} of the License, or (at your option) any later version.
+     {{1-6}} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+     MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."""),
+    ("mpl", "subject to the terms of the mozilla public license [[v {{1-2}}]]"),
+    ("mpl-notice", """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with
+     this file, You can obtain one at {{1-8}}"""),
     ("cc-by-nc", "licensed under [[a]] [[the]] cc by nc [[{{1-2}}]]"),
     ("cc-by-sa", "licensed under [[a]] [[the]] cc by sa [[{{1-2}}]]"),
     ("creative-commons", "licensed under [[a]] [[the]] creative commons [[{{1-6}}]] license"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
-    ("mpl", "subject to the terms of the mozilla public license [[v {{1-2}}]]"),
     ("copyright", "copyright [[c]] {{1-8}} all rights reserved"),
 )
 
+#: Least share of a template's mandatory words that counts as an incomplete match.
+PARTIAL = 0.5
+
 #: Word bytes are letters a-z, digits and all bytes of non-ASCII characters; the rest separates words.
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 
@@ -54,9 +103,18 @@ class Automaton:
     left: tuple[int, ...]
     mandatory: int
 
+    def leads(self) -> list[tuple[bytes, int]]:
+        """(literal, words before it): where a match can be recognised by its first literal, behind any leading region."""
+        out, states, depth = {}, set(self.first), 0
+        while states:
+            out |= {(self.word[s], depth): None for s in states if self.word[s] is not None}
+            states = {n for s in states if self.word[s] is None for n in self.after[s]}
+            depth += 1
+        return list(out)
+
     def run(self, words: list[bytes], start: int) -> tuple[int, float]:
         """(end, share): the end of the longest accepted stretch from ``start`` (0 if none), and the greatest share of
-        the mandatory words that matched on the way."""
+        the mandatory words that matched on the way, 0 if that is less than ``PARTIAL``."""
         states, at, end, best = self.first, start, 0, 0
         while states and at < len(words):
             w = words[at]
@@ -68,7 +126,9 @@ class Automaton:
                 if self.left[s] > best and self.word[s] is not None:
                     best = self.left[s]
             states = taken and tuple(dict.fromkeys(n for s in taken for n in self.after[s]))
-        return end, 1.0 if end else min(best / self.mandatory, 0.99)
+        if end or best < PARTIAL * self.mandatory:
+            return end, float(end > 0)
+        return 0, min(best / self.mandatory, 0.99)
 
 
 def compile_template(label: str, template: str) -> Automaton:
@@ -90,7 +150,7 @@ def compile_template(label: str, template: str) -> Automaton:
             (first if s < 0 else after[s]).append(len(word) - 1)
         open_ends = [len(word) - 1]
 
-    for token in re.findall(r"\[\[|\]\]|\{\{\d+-\d+\}\}|[^\s\[\]{}]+", template):
+    for token in re.findall(r"\[\[|\]\]|\{\{\d+-\d+\}\}|[a-z0-9]+", template.lower()):
         if token == "[[":
             stack.append(open_ends)
         elif token == "]]":
@@ -112,14 +172,15 @@ def compile_template(label: str, template: str) -> Automaton:
 class LicenseScanner:
     def __init__(self, base=BASE, templates=TEMPLATES):
         self.base = [compile_template(label, phrase) for label, phrase in base]
-        self.starts: dict[bytes, list[tuple[bool, Automaton]]] = {}
+        self.starts: dict[bytes, list[tuple[bool, Automaton, int]]] = {}
         for is_base, automata in ((True, self.base), (False, [compile_template(*t) for t in templates])):
             for a in automata:
-                for s in a.first:
-                    self.starts.setdefault(a.word[s], []).append((is_base, a))
+                for word, before in a.leads():
+                    self.starts.setdefault(word, []).append((is_base, a, before))
 
     def scan(self, text: str | None) -> dict:
-        """n_words; spans (label, start, end, base) of accepted places, in words; score: the greatest matched share."""
+        """n_words; spans (label, start, end, base) of accepted places, in words; score: 1 if there is one, else the greatest
+        share, from ``PARTIAL`` on, of a template's mandatory words that stand in the text from its beginning on."""
         words = words_of(text)
         spans, score = [], 0.0
         for w in self.starts.keys() & set(words):
@@ -129,12 +190,13 @@ class LicenseScanner:
                     at = words.index(w, at + 1)
                 except ValueError:
                     break
-                for is_base, a in self.starts[w]:
-                    end, share = a.run(words, at)
-                    score = max(score, share)
+                for is_base, a, before in self.starts[w]:
+                    end, share = a.run(words, at - before) if at >= before else (0, 0.0)
+                    # of a base phrase a part is nothing
+                    score = max(score, share if end or not is_base else 0.0)
                     if end:
-                        spans.append((a.label, at, end, is_base))
-        spans.sort(key=lambda s: (s[1], s[2], s[0]))
+                        spans.append((a.label, at - before, end, is_base))
+        spans = sorted(set(spans), key=lambda s: (s[1], s[2], s[0]))
         return {"n_words": len(words), "spans": spans, "score": score}
 
 

@@ -11,19 +11,21 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.common import connected, frugal, slices, stored
+from parley.llm.common import connected, frugal, joined_sets, slices, stored
 
 #: Words a shingle; least Jaccard similarity in hundredths.
 WORDS, PERCENT = 4, 85
 #: Prefix tokens that two groups have to share to meet: one for so many tokens of a set, but this many at least. More
 #: tokens make the prefixes longer and chance meetings rarer; no link is lost either way.
 SHARED_OF, SHARED = 25, 4
-#: A token in at least one of this many documents is frequent: it comes last in the token order.
-RARE = 4_000
-#: Groups that share one prefix token are paired if they are so many at most; more are put together as they are.
+#: A token of at least so many documents, as far as that is noticed, is frequent and comes last in the token order; of at
+#: most so many tokens the count is kept, the most frequent ones. The order changes no result, only how many sets meet.
+FREQUENT, MOST_FREQUENT = 16, 1 << 20
+#: Groups that share one prefix token are paired if they are so many at most; more are put together as they are, and
+#: matched as one set.
 MOST_PAIRED = 200
-#: Tokens that one matching task holds; larger candidate components are matched in pairs of blocks of half of that.
-TASK_TOKENS = 4_000_000
+#: Tokens and sets that one matching task holds; larger candidate sets are matched in blocks.
+TASK_TOKENS, TASK_SETS = 4_000_000, 500
 
 _BASE = np.uint64(0x100000001B3 * 2 + 1)
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -180,13 +182,17 @@ class TokenGroupMatrix:
         at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
         return np.flatnonzero(np.bincount(self.has[at], minlength=self.groups) >= least_shared(len(x), self.percent)).tolist()
 
-    def clusters(self) -> Clusters:
-        """All sets joined along all links. A set is not compared with a cluster that it already belongs to."""
+    def clusters(self, labels: list | None = None, asked: list[bool] | None = None) -> Clusters:
+        """All sets joined along all links of which one side is asked (else: all). Sets of equal labels are joined from the
+        start. A set is not compared with a cluster that it already belongs to."""
         found = Clusters(len(self.sets))
+        begun: dict = {}
+        for i, label in enumerate(labels or ()):
+            found.unite(i, begun.setdefault(label, i))
         #: per group, the sets seen so far by cluster; roots are brought up to date when the group is opened
         seen: list[dict[int, list[int]]] = [{} for _ in range(self.groups)]
-        for i, x in enumerate(self.sets):
-            for g in self.qualifying(x):
+        for i in sorted(range(len(self.sets)), key=lambda i: asked is None or asked[i]):
+            for g in self.qualifying(self.sets[i]) if asked is None or asked[i] else ():
                 if not seen[g]:
                     continue
                 self.opened += 1
@@ -199,7 +205,7 @@ class TokenGroupMatrix:
                         now[r] = own
                 seen[g] = now
                 for r, own in now.items():
-                    if found.root(r) != found.root(i) and any(linked(x, self.sets[j], self.percent) for j in own):
+                    if found.root(r) != found.root(i) and any(linked(self.sets[i], self.sets[j], self.percent) for j in own):
                         found.unite(i, r)
             seen[self.group[i]].setdefault(i, []).append(i)
         return found
@@ -259,7 +265,7 @@ def _prefix_rows(held, words: int, percent: int):
                     need.append(must_meet(len(s), percent))
                     prefixes.append(_in_order(s, span, frequent, rank)[: len(s) - least_shared(len(s), percent) + need[-1]].view(np.int64))
                 lists = pa.ListArray.from_arrays(np.cumsum([0, *map(len, prefixes)]).astype(np.int32), pa.array(np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)))
-                yield pa.RecordBatch.from_arrays([ids.slice(at, len(texts)), pa.array(n, pa.int64()), pa.array(need, pa.int64()), pa.array(keys, pa.binary()), lists], names=["doc_id", "n", "need", "set_key", "prefix"])
+                yield pa.RecordBatch.from_arrays([ids.slice(at, len(texts)), part.column(2).slice(at, len(texts)), pa.array(n, pa.int64()), pa.array(need, pa.int64()), pa.array(keys, pa.binary()), lists], names=["doc_id", "text_key", "n", "need", "set_key", "prefix"])
                 at += len(texts)
 
     return rows
@@ -313,65 +319,85 @@ def _meetings(percent: int):
     return meetings
 
 
-def _matched(percent: int, words: int):
-    """From rows (task, doc_id, set_key, text) sorted by task: (set_key, doc_id, root) for each set of a task."""
-
-    def solve(rows: list[tuple]) -> pa.RecordBatch:
-        keys, ids, sets = zip(*rows)
-        found = TokenGroupMatrix(list(sets), percent).clusters()
-        least: dict[int, int] = {}
-        for i, d in enumerate(ids):
-            r = found.root(i)
-            least[r] = min(least.get(r, d), d)
-        return pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(ids), pa.array([least[found.root(i)] for i in range(len(ids))])], names=["set_key", "u", "v"])
+def _sets(words: int):
+    """From rows (task, node, label, asked, text): the same with the set as payload, sorted 64-bit tokens."""
 
     @frugal
-    def match(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, rows = None, []
+    def sets(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given: set[tuple[int, bytes]] = set()
         for part in parts:
             at = 0
-            for texts in slices(part.column(3), 1 << 20):
-                piece = part.slice(at, len(texts))
+            for texts in slices(part.column(4), 1 << 20):
+                piece, rows = part.slice(at, len(texts)), []
                 at += len(texts)
-                for t, d, key, s in zip(*(piece.column(i).to_pylist() for i in range(3)), shingle_sets(texts, words)):
-                    if t != task:
-                        if rows:
-                            yield solve(rows)
-                        task, rows, seen = t, [], set()
-                    # rows of one id with other texts are not the set that was meant
-                    if key not in seen and xxhash.xxh3_128_digest(s.tobytes()) == key:
-                        seen.add(key)
-                        rows.append((key, d, s))
-        if rows:
-            yield solve(rows)
-
-    return match
+                for task, node, label, asked, s in zip(*(piece.column(k).to_pylist() for k in range(4)), shingle_sets(texts, words)):
+                    # repeated rows give one set; a row of another text with the same key, if there ever is one, none
+                    if (task, node) not in given and xxhash.xxh3_128_digest(s.tobytes()) == node:
+                        given.add((task, node))
+                        rows.append((task, node, label, asked, s.tobytes()))
+                if rows:
+                    kinds = (pa.int64(), pa.binary(), pa.binary(), pa.bool_(), pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["task", "node", "label", "asked", "payload"])
+
+    return sets
+
+
+def _matched(percent: int):
+    def solve(payloads: list[bytes], labels: list[bytes], asked: list[bool]) -> list[bytes]:
+        if len(payloads) == 1:
+            return labels
+        found = TokenGroupMatrix([np.frombuffer(p, np.uint64) for p in payloads], percent).clusters(labels, asked)
+        least: dict[int, bytes] = {}
+        for i, label in enumerate(labels):
+            r = found.root(i)
+            least[r] = min(least.get(r, label), label)
+        return [least[found.root(i)] for i in range(len(labels))]
+
+    return solve
+
+
+def _frequent_tokens(docs: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(token, count) of the frequent tokens, sorted by token: all counts above a bound that at most ``most`` tokens reach."""
+    often = stored(docs.select("text").mapInArrow(_frequent, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT), "ngram-often")
+    # counts by eighths of a power of two: a few hundred rows
+    step = F.floor(F.log2("n") * 8).cast("int")
+    bound, total = 1 << 30, 0
+    for r in often.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():
+        if (total := total + r["count"]) > most:
+            break
+        bound = r["step"]
+    rows = often.where(step >= bound).toArrow()
+    token, n = rows.column("token").to_numpy().view(np.uint64), rows.column("n").to_numpy()
+    order = np.argsort(token)
+    return token[order], n[order]
 
 
-def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, task_tokens: int = TASK_TOKENS) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id (the least doc_id reachable over links, itself included).
+def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, task_tokens: int = TASK_TOKENS, with_places: bool = False) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id (the least doc_id reachable over links, itself included).
 
     Two documents link when 100 * intersection >= percent * union of their distinct word shingles. Equal sets are one
     class from the start. A class emits a prefix of its tokens, long ones first, long enough that two linked classes share
     ``must_meet`` tokens of it; classes with the same first token are a group, and groups that share so many tokens are
-    matched in one task by the token-group matrix. Larger sets of groups are matched in pairs of blocks. All of this
-    loses no link. Null and empty texts have no shingles and link with nothing; rows of equal text link; other columns
-    are not looked at; an empty table gives an empty result. The id has to be a 64-bit integer; rows with a null id stand
-    for themselves with a null component unless they link.
+    candidates, matched by the token-group matrix; candidates beyond one task in blocks (``joined_sets``). All of this
+    loses no link.
+
+    Every row gets one row, also rows that share an id, with any texts. Null and empty texts have no shingles and link
+    with nothing; rows of equal text link; other columns are not looked at; an empty table gives an empty result. The id
+    has to be a 64-bit integer or text that reads as one; others become null. A component takes the least id that is not
+    null; one of null ids alone has a null component. ``with_places`` adds text_key (a hash of the text) and stays: whether
+    the row's id and text are the first of its component, by id, nulls last, then by text_key; true of rows without shingles.
     """
     spark = docs.sparkSession
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    few = max(16, docs.count() // RARE)
-    often = docs.select("text").mapInArrow(_frequent, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= few).toArrow()
-    token, n = often.column("token").to_numpy().view(np.uint64), often.column("n").to_numpy()
-    order = np.argsort(token)
-    held = spark.sparkContext.broadcast((token[order], n[order]))
-    made = stored(docs.mapInArrow(_prefix_rows(held, words, percent), "doc_id long, n long, need long, set_key binary, prefix array<long>"), "ngram-sets")
+    docs = docs.select(F.col(id_col).try_cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    held = spark.sparkContext.broadcast(_frequent_tokens(docs, MOST_FREQUENT))
+    made = stored(docs.withColumn("text_key", F.xxhash64("text")).mapInArrow(_prefix_rows(held, words, percent), "doc_id long, text_key long, n long, need long, set_key binary, prefix array<long>"), "ngram-sets")
 
     classes = stored(
-        made.where("n > 0").groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("need").alias("need"), F.first("prefix").alias("prefix")).withColumn("grp", F.col("prefix")[0]),
+        made.where("n > 0").groupBy("set_key")
+        .agg(F.min("doc_id").alias("rep"), F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("place"), F.first("n").alias("n"), F.first("need").alias("need"), F.first("prefix").alias("prefix"))
+        .withColumn("grp", F.col("prefix")[0]),
         "ngram-classes",
-    )
+    )
     met = (
         classes.select(F.explode("prefix").alias("token"), "grp", "need", "n")
         .repartition("token")
@@ -382,22 +408,23 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .where("n >= need")
     )
     roots = stored(connected(met.select("u", "v"), "ngram-groups"), "ngram-roots")
-    groups = classes.groupBy("grp").agg(F.count("*").alias("sets"), F.sum("n").alias("tokens")).join(roots.withColumnRenamed("node", "grp"), "grp", "left")
-    groups = groups.where("sets > 1 or root is not null").select("grp", "tokens", F.coalesce("root", "grp").alias("part"))
-    blocks = groups.groupBy("part").agg(F.greatest(F.lit(1), F.ceil(F.sum("tokens") / (task_tokens / 2))).cast("int").alias("blocks"))
-    # up to two blocks fit in a task as they are
-    blocks = blocks.withColumn("blocks", F.expr("if(blocks <= 2, 1, blocks)"))
-    wanted = classes.select("set_key", "rep", "grp").join(groups.select("grp", "part").join(blocks, "part"), "grp")
-    own = F.pmod(F.xxhash64("set_key"), F.col("blocks")).cast("int")
-    tasks = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, own).alias("a"), F.greatest(k, own).alias("b")))
-    wanted = wanted.select("rep", "set_key", "blocks", F.explode(tasks).alias("ab"), "part").select("rep", "set_key", F.struct("part", "ab.a", "ab.b").alias("key"))
-    texts = docs.join(wanted, docs["doc_id"] == wanted["rep"]).select(F.xxhash64("key.part", "key.a", "key.b").alias("task"), "doc_id", "set_key", "text")
-    links = stored(
-        texts.repartition("task").sortWithinPartitions("task", "set_key").mapInArrow(_matched(percent, words), "set_key binary, u long, v long"), "ngram-links"
-    )
-    # where a set of groups was matched in blocks, the blocks' components are joined
-    final = connected(links.select("u", "v"), "ngram-final") if blocks.agg(F.max("blocks")).first()[0] not in (None, 1) else links.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    reps = classes.select("set_key", "rep").join(final.withColumnRenamed("node", "rep"), "rep", "left").select("set_key", F.coalesce("root", "rep").alias("root"))
-    return made.select("doc_id", F.col("n").alias("n_shingles"), "set_key").join(reps, "set_key", "left").select(
-        "doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id")
-    )
+    groups = classes.groupBy("grp").agg(F.count("*").alias("sets")).join(roots.withColumnRenamed("node", "grp"), "grp", "left")
+    groups = groups.where("sets > 1 or root is not null").select("grp", F.coalesce("root", "grp").alias("part"))
+    wanted = stored(classes.select("set_key", "place", "grp", "n").join(groups, "grp"), "ngram-wanted")
+    keyed = docs.withColumn("text_key", F.xxhash64("text"))
+
+    def fetch(tasks: DataFrame) -> DataFrame:
+        at = tasks.join(wanted.select(F.col("set_key").alias("node"), F.col("place.doc_id").alias("at_id"), F.col("place.text_key").alias("at_key")), "node")
+        rows = keyed.join(at, (F.col("text_key") == F.col("at_key")) & F.col("doc_id").eqNullSafe(F.col("at_id"))).select("task", "node", "label", "asked", "text")
+        return rows.mapInArrow(_sets(words), "task long, node binary, label binary, asked boolean, payload binary")
+
+    size = F.greatest(F.col("n") / F.lit(float(task_tokens)), F.lit(1.0 / TASK_SETS))
+    joined = stored(joined_sets(wanted.select(F.col("set_key").alias("node"), "part", size.alias("size")), fetch, _matched(percent), "ngram"), "ngram-joined")
+    of = classes.select("set_key", "rep", "place").join(joined.withColumnRenamed("node", "set_key"), "set_key")
+    least = of.join(of.groupBy("root").agg(F.min("rep").alias("least"), F.min("place").alias("least_place")), "root").select("set_key", "least", "least_place")
+    reps = classes.select("set_key", "rep", "place").join(least, "set_key", "left")
+    reps = reps.select("set_key", F.coalesce("least", "rep").alias("component_id"), F.coalesce("least_place", "place").alias("at"))
+    out = made.select("doc_id", "text_key", F.col("n").alias("n_shingles"), "set_key").join(reps, "set_key", "left")
+    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
+    stays = (F.col("n_shingles") == 0) | (F.col("at.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("at.text_key") == F.col("text_key")))
+    return out.select("doc_id", "n_shingles", component, *(["text_key", stays.alias("stays")] if with_places else []))

@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 from parley.llm.common import frugal, slices, stored
 from parley.llm.ngram_join import _mixed, _powers, word_hashes
 
-#: Least words of a passage. Each stretch of so many words holds a whole seed at a selected position.
-PASSAGE_WORDS = 50
-NONE = np.uint64(2**64 - 1)
+#: Least words of a passage. Each stretch of so many words holds a whole seed at a selected position. Suffixes of one seed
+#: that are compared in one task; stretches around more frequent seeds are counted by an aggregate instead.
+PASSAGE_WORDS, HOT_ROWS = 50, 50_000
+#: Parts that the stretches around frequent seeds are dealt to when they are looked up.
+SALTS = 32
 
 
 def _sliding(x: np.ndarray, w: int, least) -> np.ndarray:
@@ -70,7 +72,7 @@ def _seeds(passage: int):
 
 
 def _contexts(passage: int):
-    """From rows (doc_id, text, at array<int>): (key, doc_id, pos, right, left): 32-bit word hashes around a position,
+    """From rows (doc_id, text, at array<int>): (key, doc_id, pos, right, left): 31-bit word hashes around a position,
     to the right as far as the next selected position can be, to the left likewise, nearest first; 0 beyond the text."""
     seed = passage // 2
     left, right = passage - seed, passage + 1
@@ -110,32 +112,41 @@ def _contexts(passage: int):
     return contexts
 
 
-def _prefix_hashes(x: np.ndarray) -> np.ndarray:
-    """Hashes of the first 0, 1, 2, ... columns of each row."""
-    out = np.zeros((len(x), x.shape[1] + 1), np.uint64)
-    for k in range(x.shape[1]):
-        out[:, k + 1] = _mixed(out[:, k] * np.uint64(3) + x[:, k])
+def _common(x: np.ndarray) -> np.ndarray:
+    """How many leading columns each row shares with the row before; 0 for the first."""
+    out = np.zeros(len(x), np.int64)
+    if len(x) > 1:
+        same = np.column_stack([x[1:] == x[:-1], np.zeros(len(x) - 1, bool)])
+        out[1:] = same.argmin(1)
     return out
 
 
-def shared_windows(key: np.ndarray, doc: np.ndarray, pos: np.ndarray, right: np.ndarray, left: np.ndarray, passage: int):
+def shared_windows(key: np.ndarray, doc: np.ndarray, right: np.ndarray, left: np.ndarray, passage: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(row, first, last, other): rows with a stretch of ``passage`` words around their seed that another document has,
     the least and greatest number of words that such a stretch extends to the left, and one such document.
 
-    For each extension to the left the suffixes are sorted from there on, and neighbours are compared."""
-    ahead, back = _prefix_hashes(right), _prefix_hashes(left)
+    The rows are sorted by (key, right). Neighbours' common lengths cut that order into the runs that share any number of
+    words to the right, and the order by what stands to the left likewise; the rows that share both a run to the right
+    and one to the left have the stretch in common."""
+    ahead = _common(right)
+    ahead[np.append(True, key[1:] != key[:-1])] = 0
+    back = np.lexsort(left.T[::-1])
+    back_common = _common(left[back])
+    place = np.empty(len(key), np.int64)
+    place[back] = np.arange(len(key))
     first, last, other = np.full(len(key), passage), np.full(len(key), -1), np.zeros(len(key), np.int64)
-    salt = key.view(np.uint64)
     for o in range(left.shape[1] + 1):
-        own = np.flatnonzero((right[:, passage - o - 1] > 0) & (left[:, o - 1] > 0 if o else True))
+        need = passage - o
+        own = np.flatnonzero((right[:, need - 1] > 0) & (left[:, o - 1] > 0 if o else True))
         if len(own) < 2:
             continue
-        h = _mixed(salt[own] + back[own, o] * np.uint64(5) + _mixed(ahead[own, passage - o]))
-        order = np.argsort(h, kind="stable")
-        own, h = own[order], h[order]
-        run = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
-        size = np.diff(np.append(run, len(h)))
-        low, high = np.repeat(np.minimum.reduceat(doc[own], run), size), np.repeat(np.maximum.reduceat(doc[own], run), size)
+        run, run_back = np.cumsum(ahead < need), np.cumsum(back_common < o)[place]
+        code = run[own] * (len(key) + 1) + run_back[own]
+        order = np.argsort(code, kind="stable")
+        own, code = own[order], code[order]
+        start = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
+        size = np.diff(np.append(start, len(code)))
+        low, high = np.repeat(np.minimum.reduceat(doc[own], start), size), np.repeat(np.maximum.reduceat(doc[own], start), size)
         hit = low != high
         own, low, high = own[hit], low[hit], high[hit]
         first[own], last[own] = np.minimum(first[own], o), o
@@ -145,56 +156,71 @@ def shared_windows(key: np.ndarray, doc: np.ndarray, pos: np.ndarray, right: np.
 
 
 def _neighbours(passage: int, chunk: int = 20_000):
-    """From suffix rows sorted by (key, right context): spans (doc_id, start, stop, other) that another document has.
-
-    Whole keys are taken together. Of a key that fills a chunk, rows whose whole context two documents have are matched
-    for good: two of them stay for the rows to come, so that copies do not pile up."""
+    """From suffix rows sorted by (key, right context): spans (doc_id, start, stop, other) that another document has. Whole
+    keys are taken together, several of them up to ``chunk`` rows."""
     seed = passage // 2
     wide, narrow = passage + 1, passage - seed
 
     def matrix(column: pa.Array, width: int) -> np.ndarray:
-        return np.frombuffer(b"".join(column.to_pylist()), ">u4").reshape(-1, width).astype(np.uint64)
+        return np.frombuffer(b"".join(column.to_pylist()), ">u4").astype(np.uint32).reshape(-1, width)
 
     def spans(rows: list[np.ndarray]) -> pa.RecordBatch:
-        row, first, last, other = shared_windows(*rows, passage)
+        key, doc, pos, right, left = rows
+        row, first, last, other = shared_windows(key, doc, right, left, passage)
         return pa.RecordBatch.from_arrays([
-            pa.array(rows[1][row]), pa.array((rows[2][row] - last).astype(np.int32)), pa.array((rows[2][row] + passage - first).astype(np.int32)), pa.array(other),
+            pa.array(doc[row]), pa.array((pos[row] - last).astype(np.int32)), pa.array((pos[row] + passage - first).astype(np.int32)), pa.array(other),
         ], names=["doc_id", "start", "stop", "other"])
 
-    def thinned(rows: list[np.ndarray]) -> list[np.ndarray]:
-        whole = _mixed(_prefix_hashes(rows[3])[:, -1] + _mixed(_prefix_hashes(rows[4])[:, -1]))
-        order = np.lexsort((rows[1], whole))
-        whole, doc = whole[order], rows[1][order]
-        run = np.flatnonzero(np.append(True, whole[1:] != whole[:-1]))
-        size = np.diff(np.append(run, len(whole)))
-        ends = np.zeros(len(whole), bool)
-        ends[run], ends[run + size - 1] = True, True
-        matched = np.repeat(doc[run] != doc[run + size - 1], size)
-        keep = np.sort(order[ends | ~matched])
-        return [r[keep] for r in rows]
-
     @frugal
     def neighbours(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list | None = None
+        held: list[list[np.ndarray]] = []
+        size = 0
         for part in parts:
             for at in range(0, part.num_rows, chunk):
                 piece = part.slice(at, chunk)
                 rows = [piece.column(k).to_numpy(zero_copy_only=False) for k in range(3)] + [matrix(piece.column(3), wide), matrix(piece.column(4), narrow)]
-                if held is not None:
-                    rows = [np.concatenate([h, r]) for h, r in zip(held, rows)]
-                cut = int(np.flatnonzero(rows[0] != rows[0][-1])[-1]) + 1 if rows[0][0] != rows[0][-1] else 0
-                if cut:
+                held.append(rows)
+                size += len(rows[0])
+                if size >= chunk and held[0][0][0] != rows[0][-1]:
+                    rows = [np.concatenate(c) for c in zip(*held)]
+                    cut = int(np.flatnonzero(rows[0] != rows[0][-1])[-1]) + 1  # the last key may go on
                     yield spans([r[:cut] for r in rows])
-                held = [r[cut:] for r in rows]  # the last key may go on
-                if len(held[0]) >= chunk:
-                    yield spans(held)
-                    held = thinned(held)
-        if held is not None:
-            yield spans(held)
+                    held, size = [[r[cut:] for r in rows]], len(rows[0]) - cut
+        if held:
+            yield spans([np.concatenate(c) for c in zip(*held)])
 
     return neighbours
 
 
+def _stretches(passage: int):
+    """From rows (doc_id, text, at array<int>): (hash, doc_id, start) of all stretches around the seeds at these positions."""
+    seed = passage // 2
+
+    @frugal
+    def stretches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            at = 0
+            for texts in slices(part.column(1), 1 << 20):
+                piece = part.slice(at, len(texts))
+                at += len(texts)
+                hashes, sizes = _hashed(texts)
+                up, down = _powers.upto(len(hashes) + 1)
+                total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * up[: len(hashes)])])
+                begin = np.cumsum(sizes) - sizes
+                wanted = piece.column(2).to_pylist()
+                owner = np.repeat(np.arange(len(wanted)), [len(w) for w in wanted])
+                pos = np.array([p for w in wanted for p in w], np.int64)
+                starts = (pos[:, None] - np.arange(passage - seed + 1)).ravel()
+                owner = np.repeat(owner, passage - seed + 1)
+                ok = (starts >= 0) & (starts + passage <= sizes[owner])
+                both = np.unique(np.column_stack([owner[ok], starts[ok]]), axis=0)
+                where = begin[both[:, 0]] + both[:, 1]
+                own = _mixed(_mixed((total[where + passage] - total[where]) * down[where]))
+                yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), piece.column(0).take(pa.array(both[:, 0])), pa.array(both[:, 1].astype(np.int32))], names=["hash", "doc_id", "start"])
+
+    return stretches
+
+
 def _merged(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From rows (doc_id, spans array<struct<start, stop, other>>): joined spans."""
     for part in parts:
@@ -215,22 +241,35 @@ def _merged(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["doc_id", "start", "stop", "other", "n_words"])
 
 
-def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", passage: int = PASSAGE_WORDS) -> DataFrame:
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", passage: int = PASSAGE_WORDS, hot_rows: int = HOT_ROWS) -> DataFrame:
     """One row per stretch of at least ``passage`` words that another document has as well: doc_id, start, stop (in
     words), other (one document that shares part of it), n_words. Overlapping stretches are joined.
 
     Words are runs of other than ASCII white space, A-Z in lower case. Seeds at minimiser positions are counted by a
-    map-side aggregate; only those that two documents have go on. Their suffixes are sorted by what follows, read
-    key by key, extended to the left word by word, and compared with their neighbours in that order. Full copies are
-    thinned while they stream by, so a passage in very many documents needs little more memory than a rare one. Null, empty and
-    shorter texts have no row; rows with one doc_id are one document; null ids are left out; other columns are not looked
-    at; an empty table gives an empty result.
+    map-side aggregate; only those that two documents have go on. Their suffixes are sorted by what follows, and
+    neighbours are compared, to the right and to the left, key by key. A seed of more than ``hot_rows`` suffixes would be
+    too much for a task: the stretches around it are counted by an aggregate and looked up in salted parts, with the
+    same result. Seeds have 64 bits, the words around them 31 bits each.
+
+    Null, empty and shorter texts have no row; rows with one doc_id are one document; null ids, and ids that are no
+    integers, are left out; other columns are not looked at; an empty table gives an empty result.
     """
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
+    docs = docs.select(F.col(id_col).try_cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
     seeds = stored(docs.mapInArrow(_seeds(passage), "key long, doc_id long, pos int"), "suffix-seeds")
-    common = seeds.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a <> b").select("key")
-    wanted = seeds.join(common, "key").groupBy("doc_id").agg(F.sort_array(F.collect_set("pos")).alias("at"))
-    suffixes = docs.join(wanted, "doc_id").select("doc_id", "text", "at").mapInArrow(_contexts(passage), "key long, doc_id long, pos int, right binary, left binary")
-    spans = suffixes.repartition("key").sortWithinPartitions("key", "right", "doc_id").mapInArrow(_neighbours(passage), "doc_id long, start int, stop int, other long")
+    keys = stored(seeds.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count("*").alias("n")).where("a <> b").select("key", "n"), "suffix-keys")
+
+    def at(own: DataFrame) -> DataFrame:
+        wanted = seeds.join(own, "key").groupBy("doc_id").agg(F.sort_array(F.collect_set("pos")).alias("at"))
+        return docs.join(wanted, "doc_id").select("doc_id", "text", "at")
+
+    suffixes = at(keys.where(F.col("n") <= hot_rows).select("key")).mapInArrow(_contexts(passage), "key long, doc_id long, pos int, right binary, left binary")
+    spans = suffixes.repartition("key").sortWithinPartitions("key", "right").mapInArrow(_neighbours(passage), "doc_id long, start int, stop int, other long")
+    hot = keys.where(F.col("n") > hot_rows).select("key")
+    if n := hot.count():
+        windows = stored(at(F.broadcast(hot) if n <= 100_000 else hot).mapInArrow(_stretches(passage), "hash long, doc_id long, start int"), "suffix-windows")
+        shared = windows.groupBy("hash").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a <> b")
+        shared = shared.select("hash", "a", "b", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+        found = windows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(shared, ["hash", "salt"])
+        spans = spans.union(found.select("doc_id", "start", (F.col("start") + passage).alias("stop"), F.when(F.col("a") == F.col("doc_id"), F.col("b")).otherwise(F.col("a")).alias("other")))
     spans = spans.groupBy("doc_id").agg(F.collect_set(F.struct("start", "stop", "other")).alias("spans"))
     return spans.mapInArrow(_merged, "doc_id long, start int, stop int, other long, n_words int")

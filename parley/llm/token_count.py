@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from parley.llm.bpe_codec import SPACE, byte_symbols
 from parley.llm.common import slices
 
-#: Pre-tokens whose counts are remembered; the memory is emptied when full, so it stays bounded.
-MEMORY = 600_000
+#: Pre-tokens whose counts are remembered, and the characters of one at most; the memory is emptied when full, so it stays
+#: bounded.
+MEMORY, REMEMBERED = 600_000, 100
 PIECE = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 NO_RANK = np.int64(1 << 40)
 
@@ -49,42 +50,49 @@ class TokenCounter:
         self._piece = regex.compile(PIECE)
         self._known: dict[str, int] = {}
 
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rank, made symbol) of pairs; NO_RANK where they do not merge."""
+        pair = left << 32 | right
+        at = np.searchsorted(self.keys, pair)
+        at[at == len(self.keys)] = 0
+        return np.where(self.keys[at] == pair, self.ranks[at], NO_RANK), self.made[at]
+
     def merged_counts(self, pieces: list[bytes]) -> np.ndarray:
-        """The number of symbols that each byte sequence has in the end."""
+        """The number of symbols that each byte sequence has in the end. A round looks up only the pairs that the one
+        before changed, so a long sequence with many rounds costs little more than its symbols a round."""
         size = np.fromiter(map(len, pieces), np.int64, len(pieces))
         out = size.copy()
-        live = np.flatnonzero(size > 1)
         symbols = self.byte[np.frombuffer(b"".join(pieces), np.uint8)]
         owner = np.repeat(np.arange(len(pieces)), size)
         keep = size[owner] > 1
         symbols, owner = symbols[keep], owner[keep]
-        while len(live) and len(symbols) > 1:
-            pair = symbols[:-1] << 32 | symbols[1:]
-            at = np.searchsorted(self.keys, pair)
-            at[at == len(self.keys)] = 0
-            hit = (self.keys[at] == pair) & (owner[:-1] == owner[1:])
-            rank = np.append(np.where(hit, self.ranks[at], NO_RANK), NO_RANK)
+        if not len(symbols):
+            return out
+        # of each place: the pair with the next symbol, the last one of a sequence has none
+        rank, made = self._ranks(symbols, np.append(symbols[1:], 0))
+        rank[np.append(owner[1:] != owner[:-1], True)] = NO_RANK
+        while len(symbols):
             start = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
             lowest = np.minimum.reduceat(rank, start)
-            length = np.diff(np.append(start, len(symbols)))
-            lowest_at = np.repeat(lowest, length)
-            chosen = (rank == lowest_at) & (rank < NO_RANK)
+            lowest_at = np.repeat(lowest, np.diff(np.append(start, len(symbols))))
+            place = np.flatnonzero((rank == lowest_at) & (rank < NO_RANK))
             # in a run of overlapping places (one symbol repeated) every second one is merged, from the left
-            place = np.flatnonzero(chosen)
             if len(place) > 1 and (near := np.diff(place) == 1).any():
-                run_start = np.append(True, ~near | (owner[place[1:]] != owner[place[:-1]]))
-                head = np.maximum.accumulate(np.where(run_start, np.arange(len(place)), 0))
-                chosen[place[(np.arange(len(place)) - head) % 2 == 1]] = False
-                place = np.flatnonzero(chosen)
-            symbols = symbols.copy()
-            symbols[place] = self.made[at[place]]
-            keep = np.ones(len(symbols), bool)
-            keep[place + 1] = False
+                head = np.maximum.accumulate(np.where(np.append(True, ~near), np.arange(len(place)), 0))
+                place = place[(np.arange(len(place)) - head) % 2 == 0]
+            symbols[place] = made[place]
             out -= np.bincount(owner[place], minlength=len(out))
+            merged = np.zeros(len(symbols), bool)
+            merged[place] = True
             # a sequence with no pair left is done
-            keep &= lowest_at < NO_RANK
-            symbols, owner = symbols[keep], owner[keep]
-            live = place
+            keep = lowest_at < NO_RANK
+            keep[place + 1] = False
+            symbols, owner, rank, made, merged = symbols[keep], owner[keep], rank[keep], made[keep], merged[keep]
+            new = np.flatnonzero(merged)
+            new = np.union1d(new, new[new > 0] - 1)
+            follows = np.minimum(new + 1, len(symbols) - 1)
+            rank[new], made[new] = self._ranks(symbols[new], symbols[follows])
+            rank[new[(follows == new) | (owner[follows] != owner[new])]] = NO_RANK
         return out
 
     def count_all(self, texts: list[str | None]) -> list[int]:
@@ -104,8 +112,13 @@ class TokenCounter:
                 extra.append(0)
         new = list({p for pieces in plain for p in pieces if p not in known})
         if new:
-            known.update(zip(new, self.merged_counts([p.encode("utf-8", "surrogatepass") for p in new]).tolist()))
-        return [sum(map(known.__getitem__, pieces)) + more for pieces, more in zip(plain, extra)]
+            counts = dict(zip(new, self.merged_counts([p.encode("utf-8", "surrogatepass") for p in new]).tolist()))
+            long = {p: n for p, n in counts.items() if len(p) > REMEMBERED}
+            known.update(counts)
+        out = [sum(map(known.__getitem__, pieces)) + more for pieces, more in zip(plain, extra)]
+        for p in long if new else ():
+            del known[p]
+        return out
 
 
 @lru_cache(maxsize=4)

@@ -211,8 +211,8 @@ def _passages(rows, least):
     return out
 
 
-@pytest.mark.parametrize("chunk", [20_000, 16])
-def test_suffix_dedup(spark, pdf, chunk, monkeypatch):
+@pytest.mark.parametrize("chunk,hot", [(20_000, 50_000), (16, 50_000), (16, 5)])
+def test_suffix_dedup(spark, pdf, chunk, hot, monkeypatch):
     whole = suffix_dedup._neighbours
     monkeypatch.setattr(suffix_dedup, "_neighbours", lambda p: whole(p, chunk))
     rng = random.Random(4)
@@ -221,7 +221,7 @@ def test_suffix_dedup(spark, pdf, chunk, monkeypatch):
     for k in range(40):
         a, n = rng.randrange(30), rng.randrange(45, 60)
         rows.append((10_000 + k, " ".join([f"l{k}"] * rng.randrange(5) + passage[a : a + n] + [f"r{k}"])))
-    got = {(r.doc_id, r.start, r.stop) for r in suffix_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    got = {(r.doc_id, r.start, r.stop) for r in suffix_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"), hot_rows=hot).collect()}
     assert got == _passages(rows, 50)
 
 
