@@ -68,4 +68,5 @@ ADJACENT_KEYS = {
     "k": "ijlm", "l": "okp", "m": "njk", "n": "bhjm", "o": "iklp", "p": "ol", "q": "wa", "r": "edft", "s": "wedxza", "t": "rfgy", "u": "yhji",
     "v": "cfgb", "w": "qase", "x": "zsdc", "y": "tghu", "z": "asx",
 }
-SYSTEM_PROMPT = "You are CustomerGPT, a helpful and professional customer support assistant."
+#: The default of a parameter; any text may be given.
+SYSTEM_PROMPT = "You are a helpful and professional customer support assistant."

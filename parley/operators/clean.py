@@ -10,7 +10,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
-from pyspark.sql.window import Window
 
 from parley.functions.text import WS
 
@@ -36,8 +35,13 @@ def _nfkc(texts: pa.Array) -> pa.Array:
 
 
 def nfkc(c: Column) -> Column:
-    """Unicode compatibility form; ASCII texts do not leave the JVM's values as they are changed by nothing."""
-    return F.when(c.rlike(r"[^\x00-\x7F]"), _nfkc(c)).otherwise(c)
+    """Unicode compatibility form; ASCII texts, which it does not change, do not leave the JVM."""
+    return F.coalesce(_nfkc(F.when(c.rlike(r"[^\x00-\x7F]"), c)), c)
+
+
+def entities(c: Column) -> Column:
+    """Every HTML5 entity resolved; only texts with an ampersand leave the JVM."""
+    return F.coalesce(unescape_all(F.when(F.contains(c, F.lit("&")), c)), c)
 
 
 def tidy(c: Column) -> Column:
@@ -51,10 +55,11 @@ def tidy(c: Column) -> Column:
     return c
 
 
-def clean_text(c: Column, full: bool = False) -> Column:
-    """Null gives the empty text. ``full`` resolves every entity and normalises Unicode, through Arrow functions."""
+def clean_text(c: Column, full: bool = True) -> Column:
+    """Null gives the empty text. ``full`` resolves every entity and normalises Unicode, through Arrow functions for the texts
+    that need it; without it, nine entities are resolved by built-in functions."""
     c = F.coalesce(c, F.lit(""))
-    return tidy(nfkc(unescape_all(c)) if full else unescape(c))
+    return tidy(nfkc(entities(c)) if full else unescape(c))
 
 
 def bound(c: Column, f) -> Column:
@@ -66,7 +71,7 @@ def capital(c: Column) -> Column:
     return bound(c, lambda x: F.when(x.rlike(r"^\p{IsLowercase}"), F.concat(F.upper(F.substring(x, 1, 1)), F.substring(x, 2, 2**31 - 1))).otherwise(x))
 
 
-def clean_instruction(c: Column, full: bool = False) -> Column:
+def clean_instruction(c: Column, full: bool = True) -> Column:
     return capital(clean_text(c, full))
 
 
@@ -83,33 +88,36 @@ def sentence_capitals(c: Column) -> Column:
     return bound(c, raised)
 
 
-def clean_response(c: Column, full: bool = False) -> Column:
+def clean_response(c: Column, full: bool = True) -> Column:
     return sentence_capitals(capital(clean_text(c, full)))
 
 
-def cleaned_with_reason(df: DataFrame, full: bool = False) -> DataFrame:
+def cleaned_with_reason(df: DataFrame, full: bool = True) -> DataFrame:
     """All rows with cleaned texts and ``reason``: null, empty, duplicate or malformed for a row that goes, else 'kept'.
 
-    The first of equal pairs, by row_id, is kept; the window is over the pair, which is the only shuffle."""
+    The first of equal pairs, by row_id, is kept. It is found by a map-side aggregate over a digest of the pair and joined
+    by row_id, which is unique, so neither a very common pair nor blank rows meet in one task."""
     missing = F.col("instruction").isNull() | F.col("response").isNull()
     df = df.withColumn("_null", missing).withColumns({"instruction": clean_instruction(F.col("instruction"), full), "response": clean_response(F.col("response"), full)})
     df = df.withColumn("_early", F.when(F.col("_null"), "null").when((F.length("instruction") == 0) | (F.length("response") == 0), "empty"))
-    first = F.row_number().over(Window.partitionBy("instruction", "response", F.col("_early").isNull()).orderBy("row_id"))
+    pair = F.sha2(F.concat(F.length("instruction").cast("string"), F.lit(" "), "instruction", "response"), 256)
+    first = df.where("_early is null").groupBy(pair.alias("_pair")).agg(F.min("row_id").alias("_first")).select("_first")
+    df = df.join(first, F.col("row_id") == F.col("_first"), "left")
     letters = F.col("instruction").rlike(r"\p{L}") & F.col("response").rlike(r"\p{L}")
     reason = (
         F.when(F.col("_early").isNotNull(), F.col("_early"))
-        .when(first > 1, "duplicate")
+        .when(F.col("_first").isNull(), "duplicate")
         .when((F.col("instruction") == F.col("response")) | ~letters, "malformed")
         .otherwise("kept")
     )
-    return df.withColumn("reason", reason).drop("_null", "_early")
+    return df.withColumn("reason", reason).drop("_null", "_early", "_first")
 
 
-def clean(df: DataFrame, full: bool = False) -> DataFrame:
+def clean(df: DataFrame, full: bool = True) -> DataFrame:
     return cleaned_with_reason(df, full).where("reason = 'kept'").drop("reason")
 
 
-def removal_report(df: DataFrame, full: bool = False) -> DataFrame:
+def removal_report(df: DataFrame, full: bool = True) -> DataFrame:
     n = lambda r: F.count_if(F.col("reason") == r)
     return cleaned_with_reason(df, full).agg(
         F.count("*").alias("initial_rows"), n("null").alias("null_removed"), n("empty").alias("empty_removed"), n("duplicate").alias("duplicate_removed"),

@@ -42,6 +42,11 @@ def length_histogram(df: DataFrame, text_cols=("instruction", "response"), bins:
     return rows.join(F.broadcast(limits), "field").groupBy("field", at.cast("long").alias("bin")).agg(F.count("*").alias("n"))
 
 
+def distinct_counts(df: DataFrame, columns=("category", "intent")) -> DataFrame:
+    """One row: the number of different values of each column, nulls aside."""
+    return df.agg(*[F.count_distinct(c).alias(f"distinct_{c}") for c in columns])
+
+
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
 

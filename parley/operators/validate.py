@@ -33,10 +33,54 @@ def alpaca_valid(c: Column) -> Column:
     return F.coalesce(c["instruction"].isNotNull() & c["input"].isNotNull() & c["output"].isNotNull(), F.lit(False))
 
 
+def _has_keys(text: Column, *keys: str) -> Column:
+    """Whether the text is a JSON object with these keys, whatever their values."""
+    return F.coalesce(F.size(F.array_except(F.array(*map(F.lit, keys)), F.json_object_keys(text))) == 0, F.lit(False))
+
+
+def _elements(text: Column) -> Column:
+    """The elements of a JSON array as JSON text; null if the text is anything else."""
+    return F.when(F.json_array_length(text) >= 0, F.from_json(text, "array<string>"))
+
+
+def _role(element: Column) -> Column:
+    return F.get_json_object(element, "$.role")
+
+
 def alpaca_json_valid(line: Column) -> Column:
     """Of untyped JSON text: an object with the three keys."""
-    keys = F.json_object_keys(line)
-    return F.coalesce(F.size(F.array_intersect(keys, F.array(F.lit("instruction"), F.lit("input"), F.lit("output")))) == 3, F.lit(False))
+    return _has_keys(line, "instruction", "input", "output")
+
+
+def chatml_json_valid(line: Column) -> Column:
+    """Of untyped JSON text: an array of a user's and an assistant's message, each with role and content."""
+    turns = _elements(line)
+    two = (F.size(turns) == 2) & F.forall(turns, lambda m: _has_keys(m, "role", "content")) & (_role(F.get(turns, 0)) == "user") & (_role(F.get(turns, 1)) == "assistant")
+    return F.coalesce(two, F.lit(False))
+
+
+def messages_json_valid(line: Column) -> Column:
+    """Of untyped JSON text: an object with metadata and at least two messages, each with role and content."""
+    turns = _elements(F.get_json_object(line, "$.messages"))
+    good = _has_keys(line, "messages", "metadata") & (F.size(turns) >= 2) & F.forall(turns, lambda m: _has_keys(m, "role", "content"))
+    return F.coalesce(good, F.lit(False))
+
+
+JSON_RULES = {"alpaca": alpaca_json_valid, "chatml": chatml_json_valid, "messages": messages_json_valid}
+
+
+def validate_json(lines: DataFrame, kind: str, column: str = "value") -> DataFrame:
+    """One row for a table of JSON texts of one format: n_rows, errors, is_valid."""
+    bad = F.count_if(~JSON_RULES[kind](F.col(column)))
+    return lines.agg(F.count("*").alias("n_rows"), bad.alias("errors"), (bad == 0).alias("is_valid"))
+
+
+def overall(rows: DataFrame, formats: dict[str, DataFrame]) -> DataFrame:
+    """The four verdicts, of the rows and of each format, and whether all hold: part, is_valid."""
+    out = rows.select(F.lit("rows").alias("part"), "is_valid")
+    for kind, df in formats.items():
+        out = out.union(df.select(F.lit(kind), "is_valid"))
+    return out.union(out.agg(F.lit("overall"), F.bool_and("is_valid")))
 
 
 def chatml_valid(c: Column) -> Column:

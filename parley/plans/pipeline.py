@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import argparse
 import logging
+import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ log = logging.getLogger("parley")
 
 def tables(raw: DataFrame, threshold: float = 5.0) -> dict[str, DataFrame]:
     """Lazy tables of the stages; ``raw`` has row_id, instruction, response, category, intent and perhaps flags."""
-    cleaned = clean.clean(raw, full=True)
+    cleaned = clean.clean(raw)
     filtered = score.passing(cleaned, threshold)
     enriched = enrich.enrich(filtered)
     return {"raw": raw, "cleaned": cleaned, "filtered": filtered, "enriched": enriched, "augmented": augment.augment(enriched)}
@@ -32,7 +33,7 @@ def run(spark: SparkSession, raw: DataFrame, base_dir: str, threshold: float = 5
     """
     keep = lambda df, name: (df.write.mode("overwrite").parquet(f"{base_dir}/data/{name}"), spark.read.parquet(f"{base_dir}/data/{name}"))[1]
     io.snapshot(raw, f"{base_dir}/data/raw")
-    cleaned = keep(clean.clean(raw, full=True), "cleaned")
+    cleaned = keep(clean.clean(raw), "cleaned")
     filtered = score.passing(cleaned, threshold)
     augmented = keep(augment.augment(enrich.enrich(filtered)), "augmented")
     enriched = augmented.where("variant_no = 0")
@@ -43,33 +44,42 @@ def run(spark: SparkSession, raw: DataFrame, base_dir: str, threshold: float = 5
     parts = split.split(chats, keys=("row_id", "variant_no"))
     parts.select("messages", "metadata", "split").write.mode("overwrite").partitionBy("split").option("ignoreNullFields", False).json(f"{base_dir}/data/final/splits")
     counts = lambda df, *by: {"/".join(map(str, r[:-1])): r[-1] for r in df.groupBy(*by).count().collect()}
-    out = {
-        "eda": report.as_dict(profile.profile(raw)) | report.as_dict(profile.length_stats(raw)),
-        "cleaning": report.as_dict(clean.removal_report(raw, full=True)),
+    rows_valid, formats_valid = report.as_dict(validate.validate_rows(augmented)), report.as_dict(validate.validate_formats(formatted))
+    out = report.consolidated({
+        "eda": report.as_dict(profile.profile(raw)) | report.as_dict(profile.length_stats(raw)) | report.as_dict(profile.distinct_counts(raw)),
+        "cleaning": report.as_dict(clean.removal_report(raw)),
         "quality": report.as_dict(score.report(cleaned, threshold)),
         "enrichment": {c: counts(enriched, c) for c in enrich.LABELS},
         "augmentation": counts(augmented, "augmentation_type"),
-        "validation": report.as_dict(validate.validate_rows(augmented)) | {"formats": report.as_dict(validate.validate_formats(formatted))},
+        "validation": rows_valid | {"formats": formats_valid, "overall_valid": rows_valid["is_valid"] and formats_valid["is_valid"]},
         "tokens": report.as_dict(tokens.token_stats(chats)),
         "split": counts(parts, "split"),
         "intents": counts(parts.select("split", F.coalesce("metadata.intent", F.lit("unknown")).alias("intent")), "split", "intent"),
         "progression": [r.asDict() for r in report.progression({"raw": raw, "cleaned": cleaned, "filtered": filtered, "augmented": augmented}).orderBy("stage_no").collect()],
-    }
+    })
     if reports_dir:
         report.write_json(out, f"{reports_dir}/consolidated.json")
         for stage, content in out.items():
+            if not isinstance(content, dict | list):
+                continue
             report.write_text(report.markdown(stage, content if isinstance(content, dict) else {str(i): c for i, c in enumerate(content)}), f"{reports_dir}/{stage}.md")
-        flat = {"raw_rows": out["cleaning"]["initial_rows"], "cleaned_rows": out["cleaning"]["final_rows"], "passed_rows": out["quality"]["passed"], "mean_quality": out["quality"]["mean_quality"]}
-        flat |= {f"split_{k}": v for k, v in out["split"].items()} | {k: out["tokens"][k] for k in ("avg_full_tokens", "max_full_tokens", "p99", "recommended_length")}
-        report.write_metrics_csv(flat, f"{reports_dir}/metrics.csv")
-    valid = out["validation"]["is_valid"] and out["validation"]["formats"]["is_valid"]
-    if not valid:
+        report.write_metrics_csv(dict(report.metrics(out)), f"{reports_dir}/metrics.csv")
+    if not out["validation"]["overall_valid"]:
         log.warning("the data set is not valid")
         if fail_on_invalid:
             raise ValueError("the data set is not valid")
     return out
 
 
+def log_to(path: str | None) -> None:
+    """Log to the console, and to a file if one is named."""
+    handlers: list[logging.Handler] = [logging.StreamHandler()]
+    if path:
+        os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
+        handlers.append(logging.FileHandler(path, encoding="utf-8"))
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(levelname)s %(message)s", handlers=handlers, force=True)
+
+
 def main() -> None:
     p = argparse.ArgumentParser(description=__doc__)
     p.add_argument("--raw_path", required=True)
@@ -78,7 +88,7 @@ def main() -> None:
     p.add_argument("--quality_threshold", type=float, default=5.0)
     p.add_argument("--fail_on_invalid", action="store_true")
     a = p.parse_args()
-    logging.basicConfig(level=logging.INFO)
+    log_to(f"{a.reports_dir or a.base_dir + '/reports'}/pipeline.log")
     spark = SparkSession.builder.getOrCreate()
     raw = io.with_row_id(io.read_csv(spark, a.raw_path))
     run(spark, raw, a.base_dir, a.quality_threshold, a.fail_on_invalid, a.reports_dir or f"{a.base_dir}/reports")

@@ -7,18 +7,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def with_rank(df: DataFrame, order: list[Column | str], name: str, bucket: Column | None = None, buckets: int = 256) -> DataFrame:
+def with_rank(df: DataFrame, order: list[Column | str], name: str, bucket: Column | None = None, buckets: int = 64) -> DataFrame:
     """A 0-based rank by ``order`` (a total order). Rows are numbered inside buckets that follow the order, and the
     buckets' sizes, a few rows, are added up.
 
-    ``bucket`` is an expression that does not fall along the order; without one the first order column, a number, is cut
-    into equal ranges between its extremes.
+    ``bucket`` is an expression that does not fall along the order; without one the first order column, a number, is cut at
+    its quantiles, so that outlying values do not leave most rows in one bucket.
     """
     if bucket is None:
-        first = F.col(order[0]) if isinstance(order[0], str) else order[0]
-        limits = df.agg(F.min(first).alias("low"), F.max(first).alias("high")).withColumn("_w", F.greatest(F.col("high") - F.col("low"), F.lit(1)))
-        df = df.join(F.broadcast(limits), how="cross")  # one row
-        df = df.withColumn("_bucket", F.coalesce(F.floor((first - F.col("low")) * (buckets - 1) / F.col("_w")), F.lit(-1)).cast("int")).drop("low", "high", "_w")
+        name_of = order[0] if isinstance(order[0], str) else "_first"
+        df = df if isinstance(order[0], str) else df.withColumn("_first", order[0])
+        limits = sorted({float(x) for x in df.approxQuantile(name_of, [k / buckets for k in range(1, buckets)], 0.5 / buckets)})
+        below = F.array_size(F.filter(F.lit(limits).cast("array<double>"), lambda x: x <= F.col(name_of))) if limits else F.lit(0)
+        df = df.withColumn("_bucket", F.coalesce(below, F.lit(-1)).cast("int")).drop("_first")
     else:
         df = df.withColumn("_bucket", bucket)
     sizes = df.groupBy("_bucket").agg(F.count("*").alias("_size"))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parley.functions import lexicons as L
 from parley.operators import augment, chat, clean, enrich, profile, report, score, split, tokens, validate
-from parley.sources.io import INTERACTIONS_SQL, interactions, over_turns
+from parley.sources import io
+from parley.sources.io import INTERACTIONS_SQL, interactions, over_turns, scratch
 
 KEYS = ("row_id",)
 
@@ -184,10 +187,56 @@ def sample_k(spark, sf_dir):
 
 
 def report_progression(spark, sf_dir):
-    raw = _raw_docs(spark, sf_dir)
-    cleaned = clean.clean(raw)
-    filtered = score.passing(cleaned, 7.0)
-    return report.progression({"raw": raw, "cleaned": cleaned, "filtered": filtered, "augmented": augment.augment(filtered)})
+    return report.stages(_raw_docs(spark, sf_dir), 7.0)
+
+
+def report_headline(spark, sf_dir):
+    return report.headline(_raw_docs(spark, sf_dir), 7.0)
+
+
+def eda_distinct(spark, sf_dir):
+    return profile.distinct_counts(interactions(spark, sf_dir))
+
+
+def _json_lines(spark, sf_dir):
+    """Chat formats as JSON text, one in some rows spoilt."""
+    rows = _formatted(spark, sf_dir)
+    bad = lambda c, k, text: F.when(F.col("row_id") % k == 0, F.lit(text)).otherwise(c)
+    return rows.select(
+        "row_id", bad(chat.json_of(F.col("alpaca")), 5, '{"instruction": "x", "output": "y"}').alias("alpaca"),
+        bad(chat.json_of(F.col("chatml")), 3, '[{"role": "user", "content": "x"}, {"role": "user", "content": "y"}]').alias("chatml"),
+        bad(bad(chat.json_of(F.struct("messages", "metadata")), 4, '{"messages": [], "metadata": {}}'), 7, "no json").alias("messages"),
+    )
+
+
+def validate_json_formats(spark, sf_dir):
+    rows = _json_lines(spark, sf_dir)
+    return rows.select("row_id", *[f(F.col(k)).alias(f"{k}_valid") for k, f in validate.JSON_RULES.items()])
+
+
+def validate_overall(spark, sf_dir):
+    rows = _json_lines(spark, sf_dir)
+    return validate.overall(validate.validate_rows(interactions(spark, sf_dir)), {k: validate.validate_json(rows, k, k) for k in validate.JSON_RULES})
+
+
+def _round_trip(kind: str):
+    def query(spark, sf_dir):
+        rows = interactions(spark, sf_dir)
+        path = f"{scratch(spark)}/{kind}-{uuid.uuid4().hex}.{kind}"
+        io.write_table(rows, path)
+        return io.read_table(spark, path).select(*rows.columns)
+
+    query.__name__ = f"source_{kind}"
+    return query
+
+
+def source_splits(spark, sf_dir):
+    """Written by split as JSON lines, and read back as named splits."""
+    path = f"{scratch(spark)}/splits-{uuid.uuid4().hex}"
+    chats = _formatted(spark, sf_dir).select("row_id", "messages", "metadata")
+    split.split(chats).select("messages", "metadata", "split").write.partitionBy("split").json(path)
+    back = io.read_splits(spark, {n: f"{path}/split={n}" for n in ("train", "validation")}).union(io.read_test(spark, f"{path}/split=test").withColumn("split", F.lit("test")))
+    return back.groupBy("split").agg(F.count("*").alias("n"), F.sum(F.length(F.get("messages", 1)["content"])).alias("chars"))
 
 
 def report_metrics(spark, sf_dir):
@@ -199,7 +248,8 @@ def queries() -> dict:
         eda_profile, eda_length_stats, eda_length_histogram, eda_category_dist, eda_intent_top20, eda_dist_grouping_sets, clean_text_docs, clean_pages_unescape, clean_nfkc,
         clean_dedupe_first, clean_removal_report, quality_filter, quality_report, enrich_distributions, augment_short_form, augment_long_form, augment_paraphrase, augment_typos,
         augment_all_dist, format_alpaca, format_chatml, format_messages, render_template, render_prompt, validate_rows, validate_formats, token_estimates, token_stats, split_assign,
-        split_sizes, split_intent_dist, sample_k, report_progression, report_metrics,
+        split_sizes, split_intent_dist, sample_k, report_progression, report_metrics, report_headline, eda_distinct,
+        validate_json_formats, validate_overall, _round_trip("csv"), _round_trip("jsonl"), _round_trip("json"), source_splits,
     )
     out = {f.__name__: f for f in own}
     out |= {f"score_{c.removesuffix('_score')}": _score_query(c) for c in (*score.WEIGHTS, "quality_score")}
@@ -372,6 +422,7 @@ def oracle_sql() -> dict[str, str]:
     sizes = {"instruction_chars": "length(instruction)", "instruction_words": _wc("instruction"), "response_chars": "length(response)", "response_words": _wc("response")}
     stats = ", ".join(f"round(avg({v}), 6) AS avg_{k}, max({v}) AS max_{k}, min({v}) AS min_{k}, CAST(median({v}) AS DOUBLE) AS median_{k}" for k, v in sizes.items())
     token_columns = ("full_tokens", "query_tokens", "response_tokens")
+    na = ", ".join(map(_q, L.NA_TOKENS))
     token_stats = ", ".join(f"round(avg({c}), 6) AS avg_{c}, max({c}) AS max_{c}, min({c}) AS min_{c}" for c in token_columns)
     blank = lambda c: f"regexp_matches({c}, '^[{_SPACE}]*\\z')"
     bad_text = "(instruction IS NULL OR response IS NULL)"
@@ -422,6 +473,20 @@ SELECT count(*) AS n_rows, count(*) FILTER (problem = 'missing') AS missing_fiel
         "report_progression": f"""WITH {_DIRTY_BASE}, {_CLEANED}, kept AS (SELECT row_id, instruction, response, category, intent, flags FROM reasons WHERE reason = 'kept'), {_score_ctes('kept')},
 k AS (SELECT (SELECT count(*) FROM base) AS a, (SELECT count(*) FROM kept) AS b, (SELECT count(*) FROM scored WHERE quality_score >= 7) AS c)
 SELECT 0 AS stage_no, 'raw' AS stage, a AS n_rows, CAST(0 AS BIGINT) AS delta FROM k UNION ALL SELECT 1, 'cleaned', b, b - a FROM k UNION ALL SELECT 2, 'filtered', c, c - b FROM k UNION ALL SELECT 3, 'augmented', 4 * c, 3 * c FROM k""",
+        "report_headline": f"""WITH {_DIRTY_BASE}, {_CLEANED}, kept AS (SELECT row_id, instruction, response, category, intent, flags FROM reasons WHERE reason = 'kept'), {_score_ctes('kept')},
+k AS (SELECT (SELECT count(*) FROM base) AS a, (SELECT count(*) FROM kept) AS b, (SELECT count(*) FROM scored WHERE quality_score >= 7) AS c),
+s AS (SELECT *, CAST(floor(4 * c * CAST(0.8 AS DOUBLE)) AS BIGINT) AS train, CAST(floor(4 * c * CAST(0.1 AS DOUBLE)) AS BIGINT) AS val FROM k)
+SELECT a AS raw_records, b AS cleaned_records, c AS quality_passed_records, 4 * c AS augmented_records, a - b AS removed_cleaning_count, b - c AS removed_quality_count, 3 * c AS augmented_added_count,
+  train AS train_records, val AS val_records, 4 * c - train - val AS test_records, (SELECT round(avg(quality_score), 6) FROM scored) AS average_quality_score FROM s""",
+        "eda_distinct": f"WITH {_BASE} SELECT count(DISTINCT category) AS distinct_category, count(DISTINCT intent) AS distinct_intent FROM base",
+        "validate_json_formats": f"WITH {_BASE} SELECT row_id, row_id % 5 <> 0 AS alpaca_valid, row_id % 3 <> 0 AS chatml_valid, row_id % 4 <> 0 AND row_id % 7 <> 0 AS messages_valid FROM base",
+        "validate_overall": f"""WITH {_BASE}, p AS (SELECT 'rows' AS part, count(*) FILTER (instruction IS NULL OR response IS NULL OR {blank('instruction')} OR {blank('response')}) = 0 AS is_valid FROM base
+UNION ALL SELECT 'alpaca', count(*) FILTER (row_id % 5 = 0) = 0 FROM base UNION ALL SELECT 'chatml', count(*) FILTER (row_id % 3 = 0) = 0 FROM base
+UNION ALL SELECT 'messages', count(*) FILTER (row_id % 4 = 0 OR row_id % 7 = 0) = 0 FROM base) SELECT * FROM p UNION ALL SELECT 'overall', bool_and(is_valid) FROM p""",
+        "source_csv": f"WITH {_BASE} SELECT row_id, {', '.join(f'CASE WHEN {c} NOT IN ({na}) THEN {c} END AS {c}' for c in ('instruction', 'response', 'category', 'intent', 'flags'))} FROM base",
+        "source_jsonl": f"WITH {_BASE} SELECT row_id, instruction, response, category, intent, flags FROM base",
+        "source_json": f"WITH {_BASE} SELECT row_id, instruction, response, category, intent, flags FROM base",
+        "source_splits": f"WITH {_BASE}, {_SPLIT} SELECT split, count(*) AS n, CAST(sum(length(instruction)) AS BIGINT) AS chars FROM parts GROUP BY split",
         "report_metrics": f"""WITH {_DIRTY_BASE}, {_CLEANED}, r AS ({_REMOVAL}) SELECT metric, CAST(value AS DOUBLE) AS value FROM (UNPIVOT r ON COLUMNS(*) INTO NAME metric VALUE value)""",
     }
     out |= {f"score_{c.removesuffix('_score')}": f"WITH {_BASE}, {_score_ctes('base')} SELECT row_id, {c} FROM scored" for c in (*score.WEIGHTS, "quality_score")}

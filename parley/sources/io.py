@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
+import json
+import re
+import shutil
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from parley.functions.lexicons import NA_TOKENS
 
@@ -19,9 +25,10 @@ METADATA = T.StructType(
 CHAT = T.StructType([T.StructField("messages", T.ArrayType(MESSAGE)), T.StructField("metadata", METADATA)])
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = RAW, na_tokens=NA_TOKENS) -> DataFrame:
-    """With a header; quoted line breaks and doubled quotes are read; cells that say "no value" become null."""
-    reader = spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = RAW, na_tokens=NA_TOKENS, line_breaks: bool = True) -> DataFrame:
+    """With a header; quoted line breaks and doubled quotes are read; cells that say "no value" become null. Without
+    ``line_breaks`` inside cells a file is cut into several tasks."""
+    reader = spark.read.option("header", True).option("multiLine", line_breaks).option("quote", '"').option("escape", '"')
     df = (reader.schema(schema) if schema else reader).csv(path)
     return df.select(*[F.when(~F.col(c).isin(*na_tokens), F.col(c)).alias(c) if t == "string" else F.col(c) for c, t in df.dtypes])
 
@@ -40,6 +47,47 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType = CHAT) -> D
     return spark.read.schema(schema).json(path)
 
 
+def read_test(spark: SparkSession, path: str, schema: T.StructType = CHAT) -> DataFrame:
+    """The JSON lines of a test split, which has to be there."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+        raise FileNotFoundError(f"no test split at {path}: make the splits first")
+    return read_jsonl(spark, path, schema)
+
+
+def write_json(df: DataFrame, path: str, indent: int = 4) -> int:
+    """One file with one JSON array, and the number of its rows. Rows come to the driver a partition at a time; for tables
+    of any size there is ``write_jsonl``."""
+    sc = df.sparkSession.sparkContext
+    where = sc._jvm.org.apache.hadoop.fs.Path(path)
+    out = where.getFileSystem(sc._jsc.hadoopConfiguration()).create(where, True)
+    n, held = 0, ["["]
+    try:
+        for row in df.toLocalIterator():
+            text = json.dumps(row.asDict(recursive=True), ensure_ascii=False, indent=indent).replace("\n", "\n" + " " * indent)
+            held.append(("," if n else "") + "\n" + " " * indent + text)
+            n += 1
+            if n % 1_000 == 0:
+                out.write("".join(held).encode("utf-8", "surrogatepass"))
+                held = []
+        out.write("".join([*held, "\n]\n" if n else "]\n"]).encode("utf-8", "surrogatepass"))
+    finally:
+        out.close()
+    return n
+
+
+def scratch(spark: SparkSession) -> str:
+    """The folder for intermediate files, from ``spark.checkpoint.dir``; a temporary one where that is unset and all is one
+    process."""
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        path = f"file://{tempfile.mkdtemp(prefix='parley-')}"
+        atexit.register(shutil.rmtree, path.removeprefix("file://"), ignore_errors=True)
+    return path.rstrip("/")
+
+
 def write_jsonl(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
@@ -53,15 +101,39 @@ def read_splits(spark: SparkSession, paths: dict[str, str], schema: T.StructType
     return out
 
 
+#: Types of the columns that the stages add, where a table is read from text.
+KINDS = {"row_id": "bigint", "variant_no": "int", "is_augmented": "boolean", "escalation": "boolean", "quality_score": "double"}
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A CSV, JSON, JSON lines or Parquet table, by its suffix; a CSV or JSON table without row_id is numbered."""
+    kind = path.rstrip("/").rsplit(".", 1)[-1]
+    if kind not in ("csv", "json", "jsonl"):
+        return spark.read.parquet(path)
+    df = read_csv(spark, path, None) if kind == "csv" else read_json(spark, path) if kind == "json" else spark.read.json(path)
+    df = df.withColumns({c: F.col(c).cast(t) for c, t in KINDS.items() if c in df.columns} | {c: F.col(c).cast("double") for c in df.columns if c.endswith("_score")})
+    return df if "row_id" in df.columns else with_row_id(df)
+
+
+def write_table(df: DataFrame, path: str) -> None:
+    kind = path.rstrip("/").rsplit(".", 1)[-1]
+    {"csv": write_csv, "json": write_json, "jsonl": write_jsonl}.get(kind, lambda df, path: df.write.mode("overwrite").parquet(path))(df, path)
+
+
 def snapshot(df: DataFrame, path: str) -> None:
     """Kept as first written."""
     df.write.mode("ignore").parquet(path)
 
 
 def with_row_id(df: DataFrame, name: str = "row_id") -> DataFrame:
-    """A number from 0 in the order of the input, by two narrow passes; no global sort."""
-    schema = T.StructType([*df.schema.fields, T.StructField(name, T.LongType(), False)])
-    return df.sparkSession.createDataFrame(df.rdd.zipWithIndex().map(lambda r: (*r[0], r[1])), schema)
+    """A number from 0 in the order of the input: the place inside the partition and the sizes of those before it, one row
+    a partition; no global sort, no row leaves the JVM. For scans: the partitions have to be the same in both passes."""
+    place = F.monotonically_increasing_id()
+    sizes = df.select(F.shiftright(place, 33).alias("_part")).groupBy("_part").agg(F.count("*").alias("_size"))
+    before = sizes.select("_part", (F.sum("_size").over(Window.orderBy("_part")) - F.col("_size")).alias("_before"))
+    rows = df.withColumn("_place", place).withColumn("_part", F.shiftright("_place", 33))
+    number = F.col("_before") + F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    return rows.join(F.broadcast(before), "_part").withColumn(name, number).drop("_part", "_place", "_before")
 
 
 # Fixed values of the test view: phrases put before user turns, and labels by row.
