@@ -21,7 +21,8 @@ def profile(df: DataFrame, text_cols=("instruction", "response")) -> DataFrame:
         F.count_if(reduce(lambda x, y: x | y, (F.col(c).isNull() for c in columns))).alias("rows_with_null"), short(a, 10).alias(f"short_{a}"), short(b, 20).alias(f"short_{b}"),
         placeholder(a).alias(f"placeholder_{a}"), placeholder(b).alias(f"placeholder_{b}"),
     )
-    kinds = df.groupBy(*columns).agg(F.count("*").alias("_n")).agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_rows"))
+    digest = F.md5(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))  # the rows themselves are not shuffled
+    kinds = df.groupBy(digest.alias("_row")).agg(F.count("*").alias("_n")).agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_rows"))
     return once.crossJoin(F.broadcast(kinds))  # one row each
 
 

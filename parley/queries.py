@@ -73,7 +73,7 @@ def clean_text_docs(spark, sf_dir):
 
 
 def clean_pages_unescape(spark, sf_dir):
-    return _documents(spark, sf_dir, "pages").select("page_id", clean.unescape(F.col("html")).alias("html"))
+    return _documents(spark, sf_dir, "pages").select("page_id", clean.entities(F.col("html")).alias("html"))
 
 
 def clean_nfkc(spark, sf_dir):
