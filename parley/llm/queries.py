@@ -79,5 +79,23 @@ SELECT s.doc_id, s.n AS n_shingles, min(r.y) AS component_id FROM sizes s JOIN r
 """
 
 
+PASSAGES_SQL = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL
+), stretches AS (
+  SELECT doc_id, i AS start, array_to_string(w[i + 1 : i + 50], ' ') AS s FROM (SELECT doc_id, w, unnest(range(0, len(w) - 49)) AS i FROM words WHERE len(w) >= 50) x
+), shared AS (
+  SELECT s, min(doc_id) AS a, max(doc_id) AS b FROM stretches GROUP BY s HAVING min(doc_id) <> max(doc_id)
+), hits AS (
+  SELECT DISTINCT doc_id, start, CASE WHEN a = doc_id THEN b ELSE a END AS other FROM stretches JOIN shared USING (s)
+), marked AS (
+  SELECT *, CASE WHEN start > lag(start) OVER (PARTITION BY doc_id ORDER BY start) + 50 THEN 1 ELSE 0 END AS fresh FROM hits
+), runs AS (
+  SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY start ROWS UNBOUNDED PRECEDING) AS run FROM marked
+)
+SELECT doc_id, CAST(min(start) AS INTEGER) AS start, CAST(max(start) + 50 AS INTEGER) AS stop, min(other) AS other, CAST(max(start) + 50 - min(start) AS INTEGER) AS n_words FROM runs GROUP BY doc_id, run
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_ngram_join": NGRAM_JOIN_SQL}
+    return {"op4_ngram_join": NGRAM_JOIN_SQL, "op7_suffix_dedup": PASSAGES_SQL}

@@ -123,7 +123,7 @@ def _common(x: np.ndarray) -> np.ndarray:
 
 def shared_windows(key: np.ndarray, doc: np.ndarray, right: np.ndarray, left: np.ndarray, passage: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(row, first, last, other): rows with a stretch of ``passage`` words around their seed that another document has,
-    the least and greatest number of words that such a stretch extends to the left, and one such document.
+    the least and greatest number of words that such a stretch extends to the left, and the least ``other`` of them.
 
     The rows are sorted by (key, right). Neighbours' common lengths cut that order into the runs that share any number of
     words to the right, and the order by what stands to the left likewise; the rows that share both a run to the right
@@ -134,7 +134,7 @@ def shared_windows(key: np.ndarray, doc: np.ndarray, right: np.ndarray, left: np
     back_common = _common(left[back])
     place = np.empty(len(key), np.int64)
     place[back] = np.arange(len(key))
-    first, last, other = np.full(len(key), passage), np.full(len(key), -1), np.zeros(len(key), np.int64)
+    first, last, other = np.full(len(key), passage), np.full(len(key), -1), np.full(len(key), 2**63 - 1)
     for o in range(left.shape[1] + 1):
         need = passage - o
         own = np.flatnonzero((right[:, need - 1] > 0) & (left[:, o - 1] > 0 if o else True))
@@ -150,7 +150,7 @@ def shared_windows(key: np.ndarray, doc: np.ndarray, right: np.ndarray, left: np
         hit = low != high
         own, low, high = own[hit], low[hit], high[hit]
         first[own], last[own] = np.minimum(first[own], o), o
-        other[own] = np.where(low == doc[own], high, low)
+        other[own] = np.minimum(other[own], np.where(low == doc[own], high, low))
     row = np.flatnonzero(last >= 0)
     return row, first[row], last[row], other[row]
 
@@ -243,7 +243,9 @@ def _merged(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", passage: int = PASSAGE_WORDS, hot_rows: int = HOT_ROWS) -> DataFrame:
     """One row per stretch of at least ``passage`` words that another document has as well: doc_id, start, stop (in
-    words), other (one document that shares part of it), n_words. Overlapping stretches are joined.
+    words), other, n_words. Overlapping stretches are joined. ``other`` is a document that shares part of it: of all its
+    stretches of ``passage`` words the least of their least holder (of their greatest one where the document itself is the
+    least).
 
     Words are runs of other than ASCII white space, A-Z in lower case. Seeds at minimiser positions are counted by a
     map-side aggregate; only those that two documents have go on. Their suffixes are sorted by what follows, and
