@@ -116,3 +116,20 @@ def test_headline_against_stages(spark, sf):
     assert r.train_records + r.val_records + r.test_records == 4 * passed
     assert [(x.stage, x.n_rows) for x in report.stages(rows, 7.0).orderBy("stage_no").collect()] == [("raw", rows.count()), ("cleaned", cleaned.count()), ("filtered", passed), ("augmented", 4 * passed)]
     assert len(report.metrics({})) == 15
+
+
+def test_pipeline_command(spark, sf, tmp_path, monkeypatch):
+    import logging
+    import sys
+
+    from parley.plans import pipeline
+
+    rows = io.interactions(spark, sf).limit(12)
+    io.write_csv(rows.drop("row_id"), f"{tmp_path}/raw.csv")
+    monkeypatch.setattr(sys, "argv", ["pipeline", "--raw_path", f"{tmp_path}/raw.csv", "--base_dir", f"{tmp_path}/out", "--quality_threshold", "1"])
+    pipeline.main()
+    logging.getLogger().handlers.clear()
+    with open(f"{tmp_path}/out/reports/consolidated.json", encoding="utf-8") as f:
+        out = json.load(f)
+    assert out["raw_records"] == 12 and out["augmented_records"] == 4 * out["quality_passed_records"] == out["train_records"] + out["val_records"] + out["test_records"]
+    assert os.path.exists(f"{tmp_path}/out/reports/pipeline.log") and os.path.exists(f"{tmp_path}/out/reports/metrics.csv")
