@@ -20,6 +20,8 @@ from parley.llm.common import slices
 #: Words whose ids are remembered; the memory is emptied when full, so it stays bounded. A worker that only encodes has
 #: room for more of them than one that also serves other stages.
 MEMORY, MORE_MEMORY = 120_000, 400_000
+#: Characters of a word that is remembered at most.
+REMEMBERED = 100
 #: Unicode white space as the vocabulary's patterns take it.
 SPACE = r"\p{White_Space}"
 WORD = rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+"
@@ -38,6 +40,18 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in seen else chr(next(hidden)) for b in range(256)]
 
 
+def require(spec: dict, normalizers: list[str], pre_tokenizers: list[str], path: str) -> None:
+    """Raise ValueError if a tokenizer file cuts or changes texts in another way than the code at hand does."""
+
+    def kinds(part: dict | None, inner: str) -> list[str]:
+        return [] if part is None else [x["type"] for x in part[inner]] if part["type"] == "Sequence" else [part["type"]]
+
+    model = spec["model"]
+    plain = model.get("type", "BPE") == "BPE" and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges"))
+    if not plain or kinds(spec.get("normalizer"), "normalizers") != normalizers or kinds(spec.get("pre_tokenizer"), "pretokenizers") != pre_tokenizers:
+        raise ValueError(f"{path}: a model, normalizer or pre-tokenizer of another kind than {normalizers} and {pre_tokenizers}")
+
+
 class BpeCodec:
     """A byte-level BPE vocabulary with an end-of-word mark, read from a tokenizer JSON file.
 
@@ -49,6 +63,7 @@ class BpeCodec:
         self.memory = memory
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        require(spec, ["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"], path)
         model = spec["model"]
         self.end = model.get("end_of_word_suffix") or ""
         vocab: dict[str, int] = dict(model["vocab"])
@@ -90,9 +105,10 @@ class BpeCodec:
         raw = word.encode("utf-8", "surrogatepass")
         symbols = [self.byte[b] for b in raw[:-1]] + [self.last[raw[-1]]]
         ids = np.array(self.merge([s for s in symbols if s is not None]), "<u4").tobytes()
-        if len(self._known) >= self.memory:
-            self._known.clear()
-        self._known[word] = ids
+        if len(word) <= REMEMBERED:
+            if len(self._known) >= self.memory:
+                self._known.clear()
+            self._known[word] = ids
         return ids
 
     def _plain(self, text: str) -> Iterator[bytes]:

@@ -12,7 +12,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.bpe_codec import SPACE, byte_symbols
+from parley.llm.bpe_codec import SPACE, byte_symbols, require
 from parley.llm.common import slices
 
 #: Pre-tokens whose counts are remembered, and the characters of one at most; the memory is emptied when full, so it stays
@@ -38,6 +38,7 @@ class TokenCounter:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        require(spec, [], ["ByteLevel"], path)
         vocab: dict[str, int] = spec["model"]["vocab"]
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["model"]["merges"]]
         keys = np.array([vocab[a] << 32 | vocab[b] for a, b in pairs], np.int64)
