@@ -175,7 +175,7 @@ def _solved(solve: Solver):
     return solved
 
 
-def joined_sets(sets: DataFrame, fetch: Callable[[DataFrame], DataFrame], solve: Solver, name: str) -> DataFrame:
+def joined_sets(sets: DataFrame, fetch: Callable[[DataFrame], DataFrame], solve: Solver, name: str, unsettled: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Rows (node, root) of the links inside candidate sets; ``sets`` is a table (read more than once) with node, part (the
     set) and size (the share of one task that a member may fill at worst); ``fetch`` adds the payload to rows (task, node,
     label, asked). All pairs of a set count, however large it is; a set's repeated nodes are one.
@@ -183,6 +183,8 @@ def joined_sets(sets: DataFrame, fetch: Callable[[DataFrame], DataFrame], solve:
     A set that fits is solved in one task. A larger one is cut into blocks: first each block alone, then one member of
     each group found, which joins most of what links; what is still apart after that is compared as a grid of blocks, the
     members outside a set's largest group against all, so that only sets which really fall apart cost more than a pass.
+    ``unsettled`` may narrow that down: of rows (node, part, label) it gives the nodes that may still link with one of
+    another label.
     """
     kind = sets.schema["node"].dataType.simpleString()
 
@@ -206,6 +208,8 @@ def joined_sets(sets: DataFrame, fetch: Callable[[DataFrame], DataFrame], solve:
     second = run(blocked(leads.join(few, "part"), "few")).select(F.col("node").alias("label"), F.col("joined").alias("lead")).distinct()
     grouped = stored(grouped.join(second, "label").drop("label").withColumnRenamed("lead", "label"), f"{name}-grouped")
     # what is apart still: members outside the largest group of their set against all of the set
+    if unsettled is not None:
+        settled, grouped = grouped, stored(grouped.join(unsettled(grouped.select("node", "part", "label")).distinct(), "node"), f"{name}-unsettled")
     groups = grouped.groupBy("part", "label").agg(F.count("*").alias("n"))
     largest = groups.groupBy("part").agg(F.max_by("label", F.struct("n", "label")).alias("largest"), F.count("*").alias("groups")).where("groups > 1")
     apart = grouped.join(largest, "part").withColumn("asked", F.col("label") != F.col("largest"))
@@ -217,5 +221,5 @@ def joined_sets(sets: DataFrame, fetch: Callable[[DataFrame], DataFrame], solve:
     down = apart.where("asked").select("*", column.alias("b"), grid("blocks").alias("a"))
     third = run(across.unionByName(down).withColumn("task", F.xxhash64("part", "a", "b")))
     last = connected(third.selectExpr("label u", "joined v"), f"{name}-last").withColumnsRenamed({"node": "label", "root": "last"}).distinct()
-    final = grouped.join(last, "label", "left").select("node", F.coalesce("last", "label").alias("root"))
+    final = (grouped if unsettled is None else settled).join(last, "label", "left").select("node", F.coalesce("last", "label").alias("root"))
     return first.join(large.select("node").distinct(), "node", "left_anti").selectExpr("node", "label root").union(final).distinct()

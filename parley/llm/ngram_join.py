@@ -25,7 +25,7 @@ FREQUENT, MOST_FREQUENT = 16, 1 << 20
 #: matched as one set.
 MOST_PAIRED = 200
 #: Tokens and sets that one matching task holds; larger candidate sets are matched in blocks.
-TASK_TOKENS, TASK_SETS = 4_000_000, 500
+TASK_TOKENS, TASK_SETS = 4_000_000, 4_000
 
 _BASE = np.uint64(0x100000001B3 * 2 + 1)
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -407,6 +407,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .agg(F.count("*").alias("n"), F.min("need").alias("need"))
         .where("n >= need")
     )
+    met = stored(met, "ngram-met")
     roots = stored(connected(met.select("u", "v"), "ngram-groups"), "ngram-roots")
     groups = classes.groupBy("grp").agg(F.count("*").alias("sets")).join(roots.withColumnRenamed("node", "grp"), "grp", "left")
     groups = groups.where("sets > 1 or root is not null").select("grp", F.coalesce("root", "grp").alias("part"))
@@ -418,8 +419,17 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         rows = keyed.join(at, (F.col("text_key") == F.col("at_key")) & F.col("doc_id").eqNullSafe(F.col("at_id"))).select("task", "node", "label", "asked", "text")
         return rows.mapInArrow(_sets(words), "task long, node binary, label binary, asked boolean, payload binary")
 
+    def unsettled(nodes: DataFrame) -> DataFrame:
+        of = nodes.join(wanted.select(F.col("set_key").alias("node"), "grp"), "node")
+        labels = of.select("grp", "label").distinct()
+        apart = met.where("need > 0").join(labels.toDF("u", "lu"), "u").join(labels.toDF("v", "lv"), "v").where("lu <> lv")
+        open_groups = apart.select(F.col("u").alias("grp")).union(apart.select("v")).union(labels.groupBy("grp").count().where("count > 1").select("grp"))
+        # groups that were put together without counting what they share may link with any of their part
+        fused = of.join(met.where("need = 0").select(F.col("u").alias("grp")).distinct(), "grp").select("part").distinct()
+        return of.join(open_groups.distinct(), "grp").select("node").union(of.join(fused, "part").select("node"))
+
     size = F.greatest(F.col("n") / F.lit(float(task_tokens)), F.lit(1.0 / TASK_SETS))
-    joined = stored(joined_sets(wanted.select(F.col("set_key").alias("node"), "part", size.alias("size")), fetch, _matched(percent), "ngram"), "ngram-joined")
+    joined = stored(joined_sets(wanted.select(F.col("set_key").alias("node"), "part", size.alias("size")), fetch, _matched(percent), "ngram", unsettled), "ngram-joined")
     of = classes.select("set_key", "rep", "place").join(joined.withColumnRenamed("node", "set_key"), "set_key")
     least = of.join(of.groupBy("root").agg(F.min("rep").alias("least"), F.min("place").alias("least_place")), "root").select("set_key", "least", "least_place")
     reps = classes.select("set_key", "rep", "place").join(least, "set_key", "left")
