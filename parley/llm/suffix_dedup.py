@@ -14,8 +14,8 @@ from parley.llm.common import frugal, slices, stored
 from parley.llm.ngram_join import _mixed, _powers, word_hashes
 
 #: Least words of a passage. Each stretch of so many words holds a whole seed at a selected position. Suffixes of one seed
-#: that are compared in one task; stretches around more frequent seeds are counted by an aggregate instead.
-PASSAGE_WORDS, HOT_ROWS = 50, 50_000
+#: that are compared in one task, which takes about 1 KB each; stretches around more frequent seeds are counted by an aggregate instead.
+PASSAGE_WORDS, HOT_ROWS = 50, 200_000
 #: Parts that the stretches around frequent seeds are dealt to when they are looked up.
 SALTS = 32
 
@@ -35,23 +35,30 @@ def _hashed(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return hashes, sizes
 
 
-def minimisers(hashes: np.ndarray, sizes: np.ndarray, passage: int = PASSAGE_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(seed hash, text number, position) of the selected positions: those whose seed, half a passage long, has the
-    least hash in some window of neighbouring seeds. The choice depends on content alone."""
+def _least_seeds(hashes: np.ndarray, sizes: np.ndarray, passage: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of the seed at each word, least of the seeds in the stretch of a passage's words that begins there; 0 for a
+    stretch that reaches into the next text)."""
     seed = passage // 2
-    window = passage - seed + 1
-    begins = np.cumsum(sizes) - sizes
     owner = np.repeat(np.arange(len(sizes)), sizes)
     n = len(hashes) - seed + 1
-    empty = np.zeros(0, np.int64)
-    if n < window:
-        return np.zeros(0, np.uint64), empty, empty
+    if n < passage - seed + 1:
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     up, down = _powers.upto(len(hashes) + 1)
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * up[: len(hashes)])])
     grams = _mixed((total[seed:] - total[:-seed]) * down[:n])
-    low = _sliding(grams, window, np.minimum)
-    # windows that reach into the next text select nothing
-    low = np.where(owner[: len(low)] == owner[np.arange(len(low)) + passage - 1], low, 0)
+    low = _sliding(grams, passage - seed + 1, np.minimum)
+    return grams, np.where(owner[: len(low)] == owner[np.arange(len(low)) + passage - 1], low, 0)
+
+
+def minimisers(hashes: np.ndarray, sizes: np.ndarray, passage: int = PASSAGE_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(seed hash, text number, position) of the selected positions: those whose seed, half a passage long, has the
+    least hash in some window of neighbouring seeds. The choice depends on content alone."""
+    window = passage - passage // 2 + 1
+    begins = np.cumsum(sizes) - sizes
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    grams, low = _least_seeds(hashes, sizes, passage)
+    if not len(low):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     padded = np.concatenate([np.zeros(window - 1, np.uint64), low, np.zeros(window - 1, np.uint64)])
     highest = _sliding(padded, window, np.maximum)  # over the windows that hold a position
     at = np.flatnonzero((highest == grams) & (grams > 0))
@@ -193,7 +200,8 @@ def _neighbours(passage: int, chunk: int = 20_000):
 
 
 def _stretches(passage: int):
-    """From rows (doc_id, text, at array<int>): (hash, doc_id, start) of all stretches around the seeds at these positions."""
+    """From rows (doc_id, text, at array<int>): (hash, doc_id, start) of the stretches whose least seed is at one of these
+    positions."""
     seed = passage // 2
 
     @frugal
@@ -210,9 +218,11 @@ def _stretches(passage: int):
                 wanted = piece.column(2).to_pylist()
                 owner = np.repeat(np.arange(len(wanted)), [len(w) for w in wanted])
                 pos = np.array([p for w in wanted for p in w], np.int64)
+                grams, low = _least_seeds(hashes, sizes, passage)
                 starts = (pos[:, None] - np.arange(passage - seed + 1)).ravel()
-                owner = np.repeat(owner, passage - seed + 1)
-                ok = (starts >= 0) & (starts + passage <= sizes[owner])
+                owner, pos = np.repeat(owner, passage - seed + 1), np.repeat(pos, passage - seed + 1)
+                ok = np.flatnonzero((starts >= 0) & (starts + passage <= sizes[owner]))
+                ok = ok[low[(begin[owner] + starts)[ok]] == grams[(begin[owner] + pos)[ok]]]
                 both = np.unique(np.column_stack([owner[ok], starts[ok]]), axis=0)
                 where = begin[both[:, 0]] + both[:, 1]
                 own = _mixed(_mixed((total[where + passage] - total[where]) * down[where]))
