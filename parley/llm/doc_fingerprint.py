@@ -55,15 +55,18 @@ class Sketch:
     def __init__(self, cells: int, keys: np.ndarray | None = None):
         self.count, self.key, self.check = np.zeros(cells, np.int64), np.zeros(cells, np.uint64), np.zeros(cells, np.uint64)
         if keys is not None and len(keys):
-            self.add(keys, 1)
+            at = _places(keys, cells).ravel()
+            self.count += np.bincount(at, minlength=cells)
+            np.add.at(self.key, at, np.repeat(keys, 3))
+            np.add.at(self.check, at, np.repeat(_check(keys), 3))
 
-    def add(self, keys: np.ndarray, sign: int | np.ndarray) -> None:
+    def _remove(self, keys: np.ndarray, checks: np.ndarray, signs: np.ndarray) -> None:
+        """Take keys out of their cells; ``signs`` says which side they are on."""
         at = _places(keys, len(self.count)).ravel()
-        signs = np.repeat(np.broadcast_to(np.asarray(sign, np.int64), keys.shape), 3)
-        np.add.at(self.count, at, signs)
         weight = signs.astype(np.uint64)  # -1 wraps around, as sums do
-        np.add.at(self.key, at, np.repeat(keys, 3) * weight)
-        np.add.at(self.check, at, np.repeat(_check(keys), 3) * weight)
+        np.subtract.at(self.count, at, np.repeat(signs, 3))
+        np.subtract.at(self.key, at, np.repeat(keys * weight, 3))
+        np.subtract.at(self.check, at, np.repeat(checks * weight, 3))
 
     def __sub__(self, other: Sketch) -> Sketch:
         out = Sketch(len(self.count))
@@ -76,16 +79,20 @@ class Sketch:
         signs: list[np.ndarray] = []
         while True:
             at = np.flatnonzero(np.abs(self.count) == 1)
+            if not len(at):
+                break
             sign = self.count[at]
-            keys = self.key[at] * sign.astype(np.uint64)
-            good = _check(keys) * sign.astype(np.uint64) == self.check[at]
-            keys, first = np.unique(keys[good], return_index=True)
-            if not len(keys):
+            weight = sign.astype(np.uint64)
+            keys = self.key[at] * weight
+            checks = _check(keys)
+            good = np.flatnonzero(checks * weight == self.check[at])
+            if not len(good):
                 break
-            sign = sign[good][first]
-            found.append(keys)
-            signs.append(sign)
-            self.add(keys, -sign)
+            good = good[np.argsort(keys[good])]
+            good = good[np.append(True, keys[good[1:]] != keys[good[:-1]])]  # a key alone in several cells counts once
+            found.append(keys[good])
+            signs.append(sign[good])
+            self._remove(keys[good], checks[good], sign[good])
         if self.count.any() or self.key.any() or self.check.any():
             return None
         if not found:
