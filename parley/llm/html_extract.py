@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html as entities
+import math
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -18,7 +19,6 @@ from parley.llm.common import slices
 #: Comments, declarations, tags; a quote counts after an equals sign, and if it is closed; a tag cut off by the page's end.
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?>[^>=]+|=\s*(?>"[^"]*"|'[^']*')?)*+)>|</?[a-zA-Z][^>]*\Z""", re.S)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_SPACE = re.compile(r"\s+")
 
 # Element names of HTML, by what they mean for text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -128,7 +128,7 @@ def _measure(node: Node) -> None:
         stack += x.kids
     for x in reversed(order):
         if x.tag == "#text":
-            x.chars = len(_SPACE.sub(" ", x.text).strip())
+            x.chars = len(" ".join(x.text.split()))
             x.linked = x.chars if x.link else 0
             x.nodes = x.paras = 0
             x.stops = sum(map(x.text.count, ".!?,;"))
@@ -191,6 +191,7 @@ def features(top: Unit, total: int) -> tuple[list[Unit], np.ndarray]:
     """Rows in document order; the first is the page."""
     flat: list[Unit] = []
     rows: list[list[float]] = []
+    groups: list[int] = []
     # (unit, depth, content words above, chrome words above, in a main element, in a chrome element, group of parent, place, siblings, share of siblings' text)
     stack = [(top, 0, 0, 0, 0, 0, len(TAG_GROUPS), 0, 1, 1.0, 0)]
     total = max(1, total)
@@ -206,10 +207,9 @@ def features(top: Unit, total: int) -> tuple[list[Unit], np.ndarray]:
             chars, linked = sum(x.chars for x in u.parts), sum(x.linked for x in u.parts)
             nodes, paras, stops, own_good, own_bad = sum(x.nodes for x in u.parts), 0, sum(x.stops for x in u.parts), 0, 0
         group = _GROUP.get(tag, len(TAG_GROUPS))
-        one = [0.0] * (len(TAG_GROUPS) + 1)
-        one[group] = 1.0
+        groups.append(group)
         rows.append([
-            *one, depth, np.log1p(chars), chars / total, linked / max(1, chars), np.log1p(nodes), nodes / (1 + chars) * 100, paras / (1 + nodes), stops / (1 + chars) * 100,
+            depth, math.log1p(chars), chars / total, linked / max(1, chars), math.log1p(nodes), nodes / (1 + chars) * 100, paras / (1 + nodes), stops / (1 + chars) * 100,
             own_good, own_bad, good, bad, inside, chrome, share, place / max(1, siblings), before / total,
         ])
         u.row = len(flat)
@@ -222,7 +222,7 @@ def features(top: Unit, total: int) -> tuple[list[Unit], np.ndarray]:
         whole = max(1, sum(sizes))
         for i in range(len(u.kids) - 1, -1, -1):
             stack.append((u.kids[i], depth + 1, good + own_good, bad + own_bad, inside, chrome, group, i, len(u.kids), sizes[i] / whole, 0))
-    return flat, np.array(rows, np.float64)
+    return flat, np.column_stack([np.eye(len(TAG_GROUPS) + 1)[groups], np.array(rows, np.float64)])
 
 
 def decode(top: Unit, flat: list[Unit], p: np.ndarray) -> list[Unit]:
@@ -267,7 +267,7 @@ def _inline_text(parts: list[Node]) -> str:
             out.append(" ")
         elif x.tag not in HIDDEN:
             stack += reversed(x.kids)
-    return _SPACE.sub(" ", "".join(out)).strip()
+    return " ".join("".join(out).split())
 
 
 def extract_all(pages: list[str | None], model: BoostedTrees) -> list[str]:
