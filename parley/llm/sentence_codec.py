@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from parley.llm.common import frugal, slices
 
 #: Segments whose pieces are remembered, and the characters of one at most; the memory is emptied when full.
-MEMORY, REMEMBERED = 500_000, 60
+MEMORY, REMEMBERED = 1_500_000, 60
 #: Up to so many symbols the next merge is looked for by a scan; beyond, by a queue.
 SCANNED = 40
 #: The mark of a space in normalised text.
@@ -166,8 +166,8 @@ class SentenceCodec:
         kinds = {k for _, _, k in pieces}
         if trained.get(3, 1) != BPE or not trained.get(35) or sum(k == BYTE for _, _, k in pieces) != 256 or not kinds <= {NORMAL, UNKNOWN, CONTROL, BYTE} or undone.get(2) or trained.get(24) or not rules.get(5, 1):
             raise ValueError(f"{path}: not a BPE model of normal, control and all byte pieces with leading space marks")
-        #: text -> (order, id): the piece of the highest score is merged first
-        self.pieces = {t: (-s, i) for i, (t, s, k) in enumerate(pieces) if k == NORMAL}
+        #: text -> id, and text -> order: the piece of the highest score is merged first
+        self.pieces = {t: i for i, (t, _, k) in enumerate(pieces) if k == NORMAL}
         self.order = {t: -s for t, s, k in pieces if k == NORMAL}
         self.kind = [k for _, _, k in pieces]
         self.text = [t for t, _, _ in pieces]
@@ -185,9 +185,11 @@ class SentenceCodec:
         inner = f"[{LETTERS}]+(?=[{apart}])" if apart else r"(?!)"
         #: a line break without a piece stands alone
         alone = "" if any("\n" in t for t in normal) else "\n"
+        self._word = re.compile(r"(?s:.+)" if crossing else f"{MARK}*[^{MARK}]+|{MARK}+")
         self._segment = re.compile(r"(?s:.+)" if crossing else f"{MARK}*{inner}|{MARK}*[^{MARK}{alone}]+|{MARK}+" + (r"|\n" if alone else ""))
         self._memory = memory
-        self._known: dict[str, tuple[bytes, str]] = {}
+        self._known: dict[str, bytes] = {}
+        self.decimal = [*map(str, range(len(pieces)))]
         self._size = np.array([len(t.encode()) if k == NORMAL else k == BYTE and self.of_byte[i] < 128 for i, (t, _, k) in enumerate(pieces)], np.int64)
         self._value = np.array([self.of_byte.get(i, 0) for i in range(len(pieces))], np.uint8)
         # what an id gives where it stands: an ASCII byte is a character of its own
@@ -279,21 +281,29 @@ class SentenceCodec:
                 heappush(queue, (p, h, symbols[h], both))
         return [s for s in symbols if s]
 
-    def _new_segment(self, segment: str) -> tuple[bytes, str]:
-        """Ids, and the ids as decimals."""
+    def _remembered(self, text: str, ids: bytes) -> bytes:
+        if len(text) <= REMEMBERED:
+            if len(self._known) >= self._memory:
+                self._known.clear()
+            self._known[text] = ids
+        return ids
+
+    def _new_segment(self, segment: str) -> bytes:
         ids = []
         for s in (self._merged if len(segment) <= SCANNED else self._merged_by_queue)([*segment]):
             p = self.pieces.get(s)
             if p is not None:
-                ids.append(p[1])
+                ids.append(p)
             else:
                 ids += [self.byte[x] for x in s.encode("utf-8")]
-        known = struct.pack(f"<{len(ids)}I", *ids), ",".join(map(str, ids))
-        if len(segment) <= REMEMBERED:
-            if len(self._known) >= self._memory:
-                self._known.clear()
-            self._known[segment] = known
-        return known
+        return self._remembered(segment, struct.pack(f"<{len(ids)}I", *ids))
+
+    def _new_word(self, word: str) -> bytes:
+        """The ids of a word, with the marks before it, by its segments."""
+        segments = self._segment.findall(word)
+        if len(segments) == 1:
+            return self._new_segment(word)
+        return self._remembered(word, b"".join([self._known.get(s) or self._new_segment(s) for s in segments]))
 
     def _sizes(self, ids: np.ndarray) -> np.ndarray:
         """Bytes of normalised text by id; of a character written in bytes, the last stands for all."""
@@ -304,32 +314,32 @@ class SentenceCodec:
             size[place + n - 1] = n
         return size
 
-    def _segments(self, text: str) -> list[tuple[bytes, str]]:
-        known, new = self._known.get, self._new_segment
-        return [known(s) or new(s) for s in self._segment.findall(text)]
+    def _words(self, text: str) -> list[bytes]:
+        known, new = self._known.get, self._new_word
+        return [known(w) or new(w) for w in self._word.findall(text)]
 
-    def encode_parts(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, str]:
-        """(ids, first byte, byte behind the last, ids as decimals joined by commas); of a null text, none."""
+    def encode_parts(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, first byte, byte behind the last) of the pieces; of a null text, none."""
         z, at = self.normalised(text) if text else ("", None)
-        parts = self._segments(z) if z else []
-        ids = np.frombuffer(b"".join([p[0] for p in parts]), "<u4")
+        ids = np.frombuffer(b"".join(self._words(z)), "<u4")
         size = self._sizes(ids)
         stop = np.cumsum(size)
         start = stop - size
         if at is not None:
             start, stop = at[start], at[stop]
         elif len(ids):
-            start, stop = self._by_marks(z, start, stop)
-        return ids, start, stop, ",".join([p[1] for p in parts])
+            stop = self._by_marks(z, stop)
+            # without a character map a piece begins where the one before it ends, or, in a character's bytes, with it
+            start = np.append(0, stop[:-1])
+        return ids, start, stop
 
-    def _by_marks(self, z: str, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """A mark is three bytes for one of the source, the one before the text three for none."""
+    def _by_marks(self, z: str, place: np.ndarray) -> np.ndarray:
+        """Places of the source: a mark is three bytes for one of the source, the one before the text three for none."""
         raw = np.frombuffer(z.encode("utf-8"), np.uint8)
-        mark = (raw[:-2] == 0xE2) & (raw[1:-1] == 0x96) & (raw[2:] == 0x81) if len(raw) > 2 else np.zeros(0, bool)
-        place = np.flatnonzero(mark)
-        lost = 2 * np.arange(len(place) + 1) + (np.arange(len(place) + 1) > 0) * self.prefix
-        shift = lambda x: x - lost[np.searchsorted(place, x, "left")]
-        return shift(start), shift(stop)
+        mark = np.flatnonzero(raw[:-2] == 0xE2) if len(raw) > 2 else np.zeros(0, np.int64)
+        mark = mark[(raw[mark + 1] == 0x96) & (raw[mark + 2] == 0x81)]
+        n = np.searchsorted(mark, place, "left")
+        return place - 2 * n - ((n > 0) & self.prefix)
 
     def encode(self, text: str | None) -> list[int]:
         return self.encode_parts(text)[0].tolist()
@@ -408,7 +418,7 @@ def encoded(text: Column, path: str | None = None) -> Column:
     def pieces(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         c = codec(path)
         for part in parts:
-            rows = [c.encode_parts(t)[:3] for s in slices(part) for t in s]
+            rows = [c.encode_parts(t) for s in slices(part) for t in s]
             columns = [_lists([r[k] for r in rows], kind) for k, kind in enumerate((np.int32, np.int64, np.int64))]
             yield pa.StructArray.from_arrays(columns, names=["ids", "starts", "stops"])
 
@@ -442,7 +452,8 @@ def round_trip_digest(text: Column, path: str | None = None) -> Column:
             rows = []
             for s in slices(part):
                 for t in s:
-                    ids, start, stop, decimals = c.encode_parts(t)
+                    ids, start, stop = c.encode_parts(t)
+                    decimals = ",".join(map(c.decimal.__getitem__, ids.tolist()))
                     spans = np.stack([start, stop], 1).astype("<i8").tobytes()
                     rows.append((len(ids), sha(decimals.encode()), sha(spans), sha(c.decode(ids).encode("utf-8"))))
             columns = [*zip(*rows)] or [()] * 4
