@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import bpe_codec, decontaminate, doc_fingerprint, html_extract, language_id, license_scan, line_dedup, ngram_join, sentence_codec, suffix_dedup, token_count
+from parley.llm import bpe_codec, decontaminate, doc_fingerprint, html_extract, language_id, license_scan, line_dedup, ngram_join, periodic_runs, sentence_codec, suffix_dedup, token_count
 from parley.llm.common import table
 
 
@@ -52,6 +52,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_digests(table(spark, sf_dir, "documents"))
+
+
 def op13_sentence_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_codec.encode_decode(table(spark, sf_dir, "documents"))
 
@@ -61,7 +65,7 @@ def queries() -> dict:
         f.__name__: f
         for f in (
             op1_line_dedup, op2_language_id, op3_bpe_codec, op4_ngram_join, op5_html_extract, op6_license_scan, op7_suffix_dedup, op8_doc_fingerprint, op9_token_count,
-            op10_decontaminate, op13_sentence_codec,
+            op10_decontaminate, op12_periodic_runs, op13_sentence_codec,
         )
     }
 
