@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import bpe_codec, decontaminate, doc_fingerprint, html_extract, language_id, license_scan, line_dedup, ngram_join, periodic_runs, sentence_codec, suffix_dedup, token_count
+from parley.llm import bpe_codec, decontaminate, doc_fingerprint, html_extract, language_id, lexical_search, license_scan, line_dedup, ngram_join, periodic_runs, sentence_codec, suffix_dedup, token_count
 from parley.llm.common import table
 
 
@@ -52,6 +52,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_digests(table(spark, sf_dir, "documents"))
 
@@ -65,7 +69,7 @@ def queries() -> dict:
         f.__name__: f
         for f in (
             op1_line_dedup, op2_language_id, op3_bpe_codec, op4_ngram_join, op5_html_extract, op6_license_scan, op7_suffix_dedup, op8_doc_fingerprint, op9_token_count,
-            op10_decontaminate, op12_periodic_runs, op13_sentence_codec,
+            op10_decontaminate, op11_lexical_search, op12_periodic_runs, op13_sentence_codec,
         )
     }
 
@@ -105,5 +109,24 @@ SELECT doc_id, CAST(min(start) AS INTEGER) AS start, CAST(max(start) + 50 AS INT
 """
 
 
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+SEARCH_SQL = f"""
+WITH words AS (SELECT doc_id, {_TERMS} AS w FROM documents),
+totals AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_words FROM words WHERE len(w) > 0),
+asked AS (SELECT item_id, term, CAST(count(*) AS BIGINT) AS c FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) x GROUP BY 1, 2),
+postings AS (
+  SELECT doc_id, term, n, CAST(count(*) AS BIGINT) AS tf FROM (SELECT doc_id, CAST(len(w) AS BIGINT) AS n, unnest(w) AS term FROM words) x
+  WHERE term IN (SELECT term FROM asked) GROUP BY 1, 2, 3
+), weights AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * max(n_docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM postings, totals GROUP BY term),
+scores AS (
+  SELECT item_id, doc_id, CAST(sum(c * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + ((75 * n * n_docs) // n_words))))) AS BIGINT) AS score
+  FROM asked JOIN postings USING (term) JOIN weights USING (term), totals GROUP BY 1, 2
+)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM scores WHERE score > 0
+) x WHERE rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_ngram_join": NGRAM_JOIN_SQL, "op7_suffix_dedup": PASSAGES_SQL}
+    return {"op4_ngram_join": NGRAM_JOIN_SQL, "op7_suffix_dedup": PASSAGES_SQL, "op11_lexical_search": SEARCH_SQL}
