@@ -219,10 +219,8 @@ def build_index(docs: DataFrame, only: list[bytes] | None = None, id_col: str =
 
 
 def _few(shards: DataFrame) -> DataFrame:
-    """Lower the session's bytes of an Arrow batch, so that few shards go in one."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if not 0 < int(shards.sparkSession.conf.get(key, "-1")) <= SHARD_BYTES:
-        shards.sparkSession.conf.set(key, str(SHARD_BYTES))
+    """Set the session's bytes of an Arrow batch to ``SHARD_BYTES``, so that few shards go in one."""
+    shards.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(SHARD_BYTES))
     return shards
 
 
