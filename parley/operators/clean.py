@@ -2,48 +2,15 @@
 
 from __future__ import annotations
 
-import html
-import unicodedata
-from functools import reduce
-
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from parley.functions.text import WS
+from parley.functions.unicode import nfkc, unescape
 
-#: Entities that the built-in path resolves; the ampersand's own comes last.
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
 QUOTES = ("‘’‚‛“”„‟‹›–—", "''''\"\"\"\"<>--")
 
 
-def unescape(c: Column) -> Column:
-    """Common entities, by built-in functions."""
-    return reduce(lambda x, e: F.replace(x, F.lit(e[0]), F.lit(e[1])), ENTITIES, c)
-
-
-@F.arrow_udf(StringType())
-def unescape_all(texts: pa.Array) -> pa.Array:
-    """Every HTML5 entity."""
-    return pa.array([None if t is None else html.unescape(t) if "&" in t else t for t in texts.to_pylist()], pa.string())
-
-
-@F.arrow_udf(StringType())
-def _nfkc(texts: pa.Array) -> pa.Array:
-    return pa.array([None if t is None else unicodedata.normalize("NFKC", t) for t in texts.to_pylist()], pa.string())
-
-
-def nfkc(c: Column) -> Column:
-    """Unicode compatibility form; ASCII texts, which it does not change, do not leave the JVM."""
-    return F.coalesce(_nfkc(F.when(c.rlike(r"[^\x00-\x7F]"), c)), c)
-
-
-def entities(c: Column) -> Column:
-    """Every HTML5 entity resolved; only texts with an ampersand leave the JVM."""
-    return F.coalesce(unescape_all(F.when(F.contains(c, F.lit("&")), c)), c)
-
-
 def tidy(c: Column) -> Column:
     """Quotes and dashes, repeated marks, white space by line."""
     c = F.translate(c, *QUOTES)
@@ -55,11 +22,9 @@ def tidy(c: Column) -> Column:
     return c
 
 
-def clean_text(c: Column, full: bool = True) -> Column:
-    """Null gives the empty text. ``full`` resolves every entity and normalises Unicode, through Arrow functions for the texts
-    that need it; without it, nine entities are resolved by built-in functions."""
-    c = F.coalesce(c, F.lit(""))
-    return tidy(nfkc(entities(c)) if full else unescape(c))
+def clean_text(c: Column) -> Column:
+    """Null gives the empty text. HTML references are resolved, Unicode is brought to NFKC, then the text is tidied."""
+    return tidy(nfkc(bound(F.coalesce(c, F.lit("")), unescape)))
 
 
 def bound(c: Column, f) -> Column:
@@ -71,8 +36,8 @@ def capital(c: Column) -> Column:
     return bound(c, lambda x: F.when(x.rlike(r"^\p{IsLowercase}"), F.concat(F.upper(F.substring(x, 1, 1)), F.substring(x, 2, 2**31 - 1))).otherwise(x))
 
 
-def clean_instruction(c: Column, full: bool = True) -> Column:
-    return capital(clean_text(c, full))
+def clean_instruction(c: Column) -> Column:
+    return capital(clean_text(c))
 
 
 def sentence_capitals(c: Column) -> Column:
@@ -88,38 +53,61 @@ def sentence_capitals(c: Column) -> Column:
     return bound(c, raised)
 
 
-def clean_response(c: Column, full: bool = True) -> Column:
-    return sentence_capitals(capital(clean_text(c, full)))
-
+def clean_response(c: Column) -> Column:
+    return sentence_capitals(capital(clean_text(c)))
 
-def cleaned_with_reason(df: DataFrame, full: bool = True) -> DataFrame:
-    """All rows with cleaned texts and ``reason``: null, empty, duplicate or malformed for a row that goes, else 'kept'.
 
-    The first of equal pairs, by row_id, is kept. It is found by a map-side aggregate over a digest of the pair and joined
-    by row_id, which is unique, so neither a very common pair nor blank rows meet in one task."""
+def _cleaned(df: DataFrame) -> DataFrame:
+    """``df`` with cleaned texts, and in ``_early`` why a row goes before pairs are compared."""
     missing = F.col("instruction").isNull() | F.col("response").isNull()
-    df = df.withColumn("_null", missing).withColumns({"instruction": clean_instruction(F.col("instruction"), full), "response": clean_response(F.col("response"), full)})
-    df = df.withColumn("_early", F.when(F.col("_null"), "null").when((F.length("instruction") == 0) | (F.length("response") == 0), "empty"))
+    df = df.withColumn("_null", missing).withColumns({"instruction": clean_instruction(F.col("instruction")), "response": clean_response(F.col("response"))})
+    return df.withColumn("_early", F.when(F.col("_null"), "null").when((F.length("instruction") == 0) | (F.length("response") == 0), "empty")).drop("_null")
+
+
+def grouped(df: DataFrame) -> DataFrame:
+    """reason ('null', 'empty', 'malformed' or 'kept'), n, row: one row for each different cleaned pair, and one each for all
+    rows with a null and all with an empty text. ``row`` is the group's first row by row_id (null ids last, then by a hash
+    of the row), ``n`` counts the group.
+
+    The first rows are found by an aggregate over a digest of the pair that combines before the shuffle, so a very common
+    pair meets in no task, and rows that share a row_id are rows of their own: nothing is joined by it."""
+    rows = _cleaned(df)
     pair = F.sha2(F.concat(F.length("instruction").cast("string"), F.lit(" "), "instruction", "response"), 256)
-    first = df.where("_early is null").groupBy(pair.alias("_pair")).agg(F.min("row_id").alias("_first")).select("_first")
-    df = df.join(first, F.col("row_id") == F.col("_first"), "left")
-    letters = F.col("instruction").rlike(r"\p{L}") & F.col("response").rlike(r"\p{L}")
-    reason = (
-        F.when(F.col("_early").isNotNull(), F.col("_early"))
-        .when(F.col("_first").isNull(), "duplicate")
-        .when((F.col("instruction") == F.col("response")) | ~letters, "malformed")
-        .otherwise("kept")
-    )
-    return df.withColumn("reason", reason).drop("_null", "_early", "_first")
-
-
-def clean(df: DataFrame, full: bool = True) -> DataFrame:
-    return cleaned_with_reason(df, full).where("reason = 'kept'").drop("reason")
-
-
-def removal_report(df: DataFrame, full: bool = True) -> DataFrame:
-    n = lambda r: F.count_if(F.col("reason") == r)
-    return cleaned_with_reason(df, full).agg(
-        F.count("*").alias("initial_rows"), n("null").alias("null_removed"), n("empty").alias("empty_removed"), n("duplicate").alias("duplicate_removed"),
-        n("malformed").alias("malformed_removed"), n("kept").alias("final_rows"), F.count_if(F.col("reason") != "kept").alias("total_removed"),
-    )
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    first = F.struct(F.col("row_id").isNull(), F.col("row_id"), F.xxhash64(row))
+    groups = rows.groupBy("_early", F.when(F.col("_early").isNull(), pair).alias("_pair")).agg(F.count("*").alias("n"), F.min_by(row, first).alias("row"))
+    letters = F.col("row.instruction").rlike(r"\p{L}") & F.col("row.response").rlike(r"\p{L}")
+    malformed = (F.col("row.instruction") == F.col("row.response")) | ~letters
+    return groups.select(F.when(F.col("_early").isNotNull(), F.col("_early")).when(malformed, "malformed").otherwise("kept").alias("reason"), "n", "row")
+
+
+def _kept(groups: DataFrame) -> DataFrame:
+    return groups.where("reason = 'kept'").select("row.*")
+
+
+def clean(df: DataFrame) -> DataFrame:
+    """The rows that stay, with cleaned texts: the first of each pair that has letters on both sides and is not a question
+    answered by itself."""
+    return _kept(grouped(df))
+
+
+def _counters() -> list[Column]:
+    n = lambda *reasons: F.coalesce(F.sum(F.when(F.col("reason").isin(*reasons), F.col("n"))), F.lit(0))
+    groups = lambda *reasons: F.count_if(F.col("reason").isin(*reasons))
+    return [
+        F.coalesce(F.sum("n"), F.lit(0)).alias("initial_rows"), n("null").alias("null_removed"), n("empty").alias("empty_removed"),
+        (n("malformed", "kept") - groups("malformed", "kept")).alias("duplicate_removed"), groups("malformed").alias("malformed_removed"), groups("kept").alias("final_rows"),
+        (F.coalesce(F.sum("n"), F.lit(0)) - groups("kept")).alias("total_removed"),
+    ]
+
+
+def removal_report(df: DataFrame) -> DataFrame:
+    """One row: how many rows there were, went by each rule in its order, and stay."""
+    return grouped(df).agg(*_counters())
+
+
+def clean_counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``clean``, and the counters of ``removal_report`` as an observation that the first action on the rows fills: the
+    table is cleaned once for both. Its ``get`` waits for that action."""
+    counters = Observation(f"cleaning-{id(df)}")
+    return _kept(grouped(df).observe(counters, *_counters())), counters

@@ -24,10 +24,10 @@ def headline(raw: DataFrame, threshold: float = 5.0) -> DataFrame:
     the cleaned rows. Every passed row has four variants, and the splits' sizes follow from their number."""
     from parley.operators import clean, score
 
-    rows = score.with_scores(clean.cleaned_with_reason(raw))
+    rows = score.with_scores(clean.grouped(raw).select("reason", "n", "row.*"))
     kept, passed = F.col("reason") == "kept", F.col("quality_score") >= threshold
     out = rows.agg(
-        F.count("*").alias("raw_records"), F.count_if(kept).alias("cleaned_records"), F.count_if(kept & passed).alias("quality_passed_records"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("raw_records"), F.count_if(kept).alias("cleaned_records"), F.count_if(kept & passed).alias("quality_passed_records"),
         F.round(F.avg(F.when(kept, F.col("quality_score"))), 6).alias("average_quality_score"),
     )
     n = F.col("quality_passed_records") * 4

@@ -29,11 +29,13 @@ def tables(raw: DataFrame, threshold: float = 5.0) -> dict[str, DataFrame]:
 def run(spark: SparkSession, raw: DataFrame, base_dir: str, threshold: float = 5.0, fail_on_invalid: bool = False, reports_dir: str | None = None) -> dict:
     """Write all tables and reports under ``base_dir``; return the consolidated report.
 
-    The cleaned and the augmented table are written and reread, so no stage is computed twice.
+    The cleaned and the augmented table are written and reread, and the cleaning is counted as it is written, so no stage is
+    computed twice.
     """
     keep = lambda df, name: (df.write.mode("overwrite").parquet(f"{base_dir}/data/{name}"), spark.read.parquet(f"{base_dir}/data/{name}"))[1]
     io.snapshot(raw, f"{base_dir}/data/raw")
-    cleaned = keep(clean.clean(raw), "cleaned")
+    rows, counters = clean.clean_counted(raw)
+    cleaned = keep(rows, "cleaned")
     filtered = score.passing(cleaned, threshold)
     augmented = keep(augment.augment(enrich.enrich(filtered)), "augmented")
     enriched = augmented.where("variant_no = 0")
@@ -47,7 +49,7 @@ def run(spark: SparkSession, raw: DataFrame, base_dir: str, threshold: float = 5
     rows_valid, formats_valid = report.as_dict(validate.validate_rows(augmented)), report.as_dict(validate.validate_formats(formatted))
     out = report.consolidated({
         "eda": report.as_dict(profile.profile(raw)) | report.as_dict(profile.length_stats(raw)) | report.as_dict(profile.distinct_counts(raw)),
-        "cleaning": report.as_dict(clean.removal_report(raw)),
+        "cleaning": counters.get,
         "quality": report.as_dict(score.report(cleaned, threshold)),
         "enrichment": {c: counts(enriched, c) for c in enrich.LABELS},
         "augmentation": counts(augmented, "augmentation_type"),

@@ -36,8 +36,9 @@ def eda(spark, df, a) -> dict:
 
 
 def clean_stage(spark, df, a) -> dict:
-    io.write_table(clean.clean(df), a.output)
-    return {"cleaning": report.as_dict(clean.removal_report(df))}
+    rows, counters = clean.clean_counted(df)
+    io.write_table(rows, a.output)
+    return {"cleaning": counters.get}
 
 
 def score_stage(spark, df, a) -> dict:

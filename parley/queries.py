@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import unicodedata
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parley.functions import lexicons as L
+from parley.functions import unicode
 from parley.operators import augment, chat, clean, enrich, profile, report, score, split, tokens, validate
 from parley.sources import io
 from parley.sources.io import INTERACTIONS_SQL, interactions, over_turns, scratch
@@ -68,16 +70,27 @@ def eda_dist_grouping_sets(spark, sf_dir):
 
 
 def clean_text_docs(spark, sf_dir):
-    both = clean.bound(clean.capital(clean.clean_text(F.col("text"))), lambda x: F.struct(x.alias("as_instruction"), clean.sentence_capitals(x).alias("as_response")))
-    return _documents(spark, sf_dir).select("doc_id", both.alias("c")).select("doc_id", "c.as_instruction", "c.as_response")
+    rows = _documents(spark, sf_dir).select("doc_id", clean.clean_instruction(F.col("text")).alias("as_instruction"))
+    return rows.withColumn("as_response", clean.sentence_capitals(F.col("as_instruction")))
 
 
 def clean_pages_unescape(spark, sf_dir):
-    return _documents(spark, sf_dir, "pages").select("page_id", clean.entities(F.col("html")).alias("html"))
+    return _documents(spark, sf_dir, "pages").select("page_id", unicode.unescape(F.col("html")).alias("html"))
+
+
+#: Letters and signs put in other forms of Unicode: full width, ligatures, signs for words, parts and marks, jamo.
+_FORMS = {"the": "ｔｈｅ", "de": "㏈e", "é": "é", "ñ": "ñ", "ü": "ǘ", "fi": "ﬁ", "on": "ō̱n", "1": "①", "2": "²½", "er": "각ｶﾞr", "...": "…", "A": "Å", "s ": "ẛ̣ "}
+
+
+def _other_forms(c: Column) -> Column:
+    for plain, form in _FORMS.items():
+        c = F.replace(c, F.lit(plain), F.lit(form))
+    return c
 
 
 def clean_nfkc(spark, sf_dir):
-    return _documents(spark, sf_dir).select("doc_id", clean.clean_text(F.col("text"), full=True).alias("text"))
+    """The documents with many letters in other forms, brought to NFKC."""
+    return _documents(spark, sf_dir).select("doc_id", unicode.nfkc(_other_forms(F.col("text"))).alias("text"))
 
 
 def clean_dedupe_first(spark, sf_dir):
@@ -290,10 +303,31 @@ def _one(options, number: str) -> str:
     return f"[{', '.join(options)}][{number} + 1]"
 
 
+def _map(entries: dict) -> str:
+    return "MAP {" + ", ".join(f"{_q(str(k))}: {_q(v)}" for k, v in entries.items()) + "}"
+
+
 def _unescaped(c: str) -> str:
-    for a, b in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
-        c = f"replace({c}, {_q(a)}, {_q(b)})"
-    return c
+    """References resolved token by token, from the same public tables."""
+    closed = {f"{n};": t for names in unicode.closed_names().values() for n, t in names.items()}
+    opened, odd = unicode.open_names(), unicode.odd_numbers()
+    number = lambda n: f"CASE WHEN {n} IS NULL OR {n} BETWEEN 55296 AND 57343 OR {n} > 1114111 THEN {_q(unicode.LOST)} WHEN ({_map(odd)})[CAST({n} AS VARCHAR)] IS NOT NULL THEN ({_map(odd)})[CAST({n} AS VARCHAR)] ELSE chr(CAST({n} AS INTEGER)) END"
+    decimal = "TRY_CAST(regexp_extract(t, '[0-9]+') AS BIGINT)"
+    hexadecimal = "TRY_CAST(concat('0x', regexp_extract(t, '[xX]0*([0-9a-fA-F]*)', 1)) AS BIGINT)"
+    zero = "WHEN regexp_matches(t, '^&#[xX]0+;?$') THEN " + _q(unicode.LOST)
+    start = f"regexp_extract(t, '^&({'|'.join(opened)})', 1)"
+    token = f"""CASE WHEN NOT starts_with(t, '&') OR t = '&' THEN t WHEN regexp_matches(t, '^&#[0-9]') THEN {number(decimal)} {zero} WHEN regexp_matches(t, '^&#[xX][0-9a-fA-F]') THEN {number(hexadecimal)}
+  WHEN ({_map(closed)})[substr(t, 2)] IS NOT NULL THEN ({_map(closed)})[substr(t, 2)]
+  WHEN {start} <> '' THEN concat(({_map(opened)})[{start}], substr(t, length({start}) + 2)) ELSE t END"""
+    return f"CASE WHEN contains({c}, '&') THEN array_to_string(list_transform(regexp_extract_all({c}, {_q(unicode.REFERENCE + '|[^&]+|&')}), lambda t: {token}), '') ELSE {c} END"
+
+
+def _nfkc(c: str) -> str:
+    """Compatibility characters replaced by their parts, then the canonical form. Only characters of the
+    other forms are taken apart."""
+    whole = {ch: d for form in _FORMS.values() for ch in form if (d := unicodedata.normalize("NFKD", ch)) != ch}
+    parts = f"array_to_string(list_transform(regexp_extract_all({c}, '[{''.join(whole)}]|[^{''.join(whole)}]+'), lambda t: coalesce(({_map(whole)})[t], t)), '')"
+    return f"nfc_normalize({parts})"
 
 
 def _clean(c: str) -> str:
@@ -426,6 +460,9 @@ def oracle_sql() -> dict[str, str]:
     token_stats = ", ".join(f"round(avg({c}), 6) AS avg_{c}, max({c}) AS max_{c}, min({c}) AS min_{c}" for c in token_columns)
     blank = lambda c: f"regexp_matches({c}, '^[{_SPACE}]*\\z')"
     bad_text = "(instruction IS NULL OR response IS NULL)"
+    other = "text"
+    for plain, form in _FORMS.items():
+        other = f"replace({other}, {_q(plain)}, {_q(form)})"
     out = {
         "eda_profile": f"""WITH {_BASE} SELECT count(*) AS n_rows, CAST(6 AS BIGINT) AS n_columns, {", ".join(f"count(*) FILTER ({c} IS NULL) AS null_{c}" for c in cols)},
   count(*) FILTER ({" OR ".join(f"{c} IS NULL" for c in cols)}) AS rows_with_null, count(*) FILTER (length(coalesce(instruction, '')) < 10) AS short_instruction,
@@ -440,6 +477,7 @@ SELECT field, CAST(CASE WHEN high = low THEN 0 ELSE least(floor((v - low) * 30 /
         "eda_dist_grouping_sets": _dist("base", ("category", "intent"), _BASE),
         "clean_text_docs": f"WITH c AS (SELECT doc_id, {_clean('text')} AS t FROM documents), k AS (SELECT doc_id, {_capital('t')} AS t FROM c) SELECT doc_id, t AS as_instruction, {_sentences('t')} AS as_response FROM k",
         "clean_pages_unescape": f"SELECT page_id, {_unescaped('html')} AS html FROM pages",
+        "clean_nfkc": f"WITH f AS (SELECT doc_id, {other} AS t FROM documents) SELECT doc_id, {_nfkc('t')} AS text FROM f",
         "clean_dedupe_first": f"WITH {_DIRTY_BASE}, {_CLEANED} SELECT row_id, instruction, response FROM reasons WHERE reason = 'kept'",
         "clean_removal_report": f"WITH {_DIRTY_BASE}, {_CLEANED} {_REMOVAL}",
         "quality_filter": f"WITH {_BASE}, {_score_ctes('base')} SELECT row_id, quality_score FROM scored WHERE quality_score >= 7",
