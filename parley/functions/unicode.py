@@ -9,7 +9,7 @@ import html
 import html.entities
 import sys
 import unicodedata
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -59,16 +59,12 @@ def character(number: Column) -> Column:
 
 def _numbered(number: Column) -> Column:
     lost = number.isNull() | number.between(0xD800, 0xDFFF) | (number > sys.maxunicode)
-    odd = F.coalesce(number.isin(*odd_numbers()), F.lit(False))
-    return F.when(lost, LOST).when(odd, F.element_at(_table(odd_numbers()), number.cast("string"))).otherwise(character(number))
+    return F.when(lost, LOST).otherwise(F.coalesce(F.element_at(_table(odd_numbers()), number.cast("string")), character(number)))
 
 
 def _named(token: Column) -> Column:
-    by_letter = F.lit(None).cast("string")
-    name = F.substring(token, 2, F.length(token) - 2)
-    closed = F.when(F.substring(token, 2, 1) == "", by_letter)
-    for letter, names in closed_names().items():
-        closed = closed.when(F.substring(token, 2, 1) == letter, F.element_at(_table(names), name))
+    name, letter = F.substring(token, 2, F.length(token) - 2), F.substring(token, 2, 1)
+    closed = reduce(lambda c, x: c.when(letter == x[0], F.element_at(_table(x[1]), name)), closed_names().items(), F.when(letter == "", F.lit(None).cast("string")))
     begins = "&(" + "|".join(open_names()) + ")"
     start = F.regexp_extract(token, begins, 1)
     rest = F.substring(token, F.length(start) + 2, 2**31 - 1)
@@ -77,15 +73,13 @@ def _named(token: Column) -> Column:
 
 
 def _resolved(token: Column) -> Column:
-    decimal = F.regexp_extract(token, r"^&#([0-9]+);?$", 1)
+    digits = F.regexp_extract(token, r"^&#([0-9]+);?$", 1)
     hexadecimal = F.regexp_extract(token, r"^&#[xX]0*([0-9a-fA-F]*);?$", 1)
-    by_hex = F.when(F.length(hexadecimal) <= 6, F.conv(hexadecimal, 16, 10).cast("bigint"))
-    return (
-        F.when(~F.startswith(token, F.lit("&")) | (token == "&"), token)
-        .when(token.rlike(r"^&#[0-9]"), _numbered(decimal.try_cast("bigint")))
-        .when(token.rlike(r"^&#[xX][0-9a-fA-F]"), _numbered(F.when(hexadecimal == "", F.lit(0).cast("bigint")).otherwise(by_hex)))
-        .otherwise(_named(token))
-    )
+    # more than six digits are beyond the last character: null, like a decimal number that is no bigint
+    by_hex = F.when(hexadecimal == "", F.lit(0).cast("bigint")).when(F.length(hexadecimal) <= 6, F.conv(hexadecimal, 16, 10).cast("bigint"))
+    number = F.when(digits != "", digits.try_cast("bigint")).otherwise(by_hex)
+    numeric = token.rlike("^&#([0-9]|[xX][0-9a-fA-F])")
+    return F.when(~F.startswith(token, F.lit("&")) | (token == "&"), token).when(numeric, _numbered(number)).otherwise(_named(token))
 
 
 def unescape(c: Column) -> Column:
@@ -103,11 +97,19 @@ PAGE = 256
 
 
 @lru_cache(maxsize=1)
-def unsafe() -> tuple[str, ...]:
-    """Characters that NFKC changes, moves or joins to the one before: all others stay as they are."""
-    joined = {b for _, b in compositions()} | {chr(c) for c in (*range(V0, V0 + NV), *range(T0 + 1, T0 + NT))}
+def joiners() -> frozenset[str]:
+    """Characters that NFKC may move, or join to one before them, and those that turn into such."""
     every = (chr(c) for c in range(0x80, sys.maxunicode + 1) if not 0xD800 <= c < 0xE000)
-    return tuple(c for c in every if unicodedata.combining(c) or c in joined or unicodedata.normalize("NFKC", c) != c)
+    second = {b for _, b in compositions()} | {chr(c) for c in (*range(V0, V0 + NV), *range(T0 + 1, T0 + NT))}
+    marks = lambda c: unicodedata.combining(c) or c in second
+    return frozenset(c for c in every if marks(c) or marks(unicodedata.normalize("NFKD", c)[0]))
+
+
+@lru_cache(maxsize=1)
+def mapped() -> dict[str, str]:
+    """Characters that become something else wherever no joiner follows."""
+    every = (chr(c) for c in range(0x80, sys.maxunicode + 1) if not 0xD800 <= c < 0xE000)
+    return {c: t for c in every if c not in joiners() and (t := unicodedata.normalize("NFKC", c)) != c}
 
 
 @lru_cache(maxsize=1)
@@ -134,9 +136,16 @@ def _class(characters) -> str:
     return "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in ranges)
 
 
+def _either(characters) -> tuple[str, str]:
+    """A class of these characters and one of all others. Both look at ASCII first, as the ranges are many."""
+    ranges = _class(characters)
+    return rf"[[^\x00-\x7F]&&[{ranges}]]", rf"[\x00-\x7F[^{ranges}]]"
+
+
 @lru_cache(maxsize=1)
-def _unsafe_class() -> str:
-    return _class(unsafe())
+def _classes_of_characters() -> tuple[str, str, str, str, str]:
+    """Joiners, all others; mapped ones; either of both, neither."""
+    return *_either(joiners()), _either(mapped())[0], *_either(joiners() | mapped().keys())
 
 
 class _Pages:
@@ -159,7 +168,7 @@ class _Pages:
 @lru_cache(maxsize=1)
 def _decompositions() -> _Pages:
     entries = {}
-    for c in unsafe():
+    for c in joiners() | mapped().keys():
         whole = unicodedata.normalize("NFKD", c)
         if whole != c:
             entries[ord(c)] = whole
@@ -173,6 +182,11 @@ def _decompositions() -> _Pages:
     return _Pages(entries)
 
 
+@lru_cache(maxsize=1)
+def _replacements() -> _Pages:
+    return _Pages({ord(c): t for c, t in mapped().items()})
+
+
 @lru_cache(maxsize=1)
 def _classes() -> _Pages:
     return _Pages({n: str(k) for n in range(sys.maxunicode + 1) if (k := unicodedata.combining(chr(n)))})
@@ -200,6 +214,14 @@ def _joined(first: Column, second: Column) -> Column:
     return F.when(b < 0x300, F.lit(None).cast("string")).otherwise(F.coalesce(hangul, F.when((first != "") & (place > 0), F.call_function("substring", made, place, F.lit(1)))))
 
 
+def _normal_pair(pair: Column) -> Column:
+    """Of a character of class 0 and a joiner, neither of which has parts: what they make, or both. Null for other pairs."""
+    first, second = F.substring(pair, 1, 1), F.substring(pair, 2, 1)
+    whole = lambda ch: F.coalesce(_decompositions().get(F.ascii(ch)), F.lit("")) == ""
+    starter = F.coalesce(_classes().get(F.ascii(first)), F.lit("")) == ""
+    return F.when((F.length(pair) == 2) & starter & whole(first) & whole(second), F.coalesce(_joined(first, second), pair))
+
+
 def _normal_segment(segment: Column) -> Column:
     """Decomposed, put in order, composed."""
     whole = lambda ch: _let(_decompositions().get(F.ascii(ch)), lambda d: F.when(F.coalesce(d, F.lit("")) == "", ch).otherwise(d))
@@ -239,9 +261,19 @@ def _normal_segment(segment: Column) -> Column:
 
 
 def nfkc(c: Column) -> Column:
-    """The Unicode compatibility form. A text is cut before every character that NFKC leaves alone, together with the ones
-    behind it that it may change; only segments with such are worked on. Null stays null."""
-    odd = _unsafe_class()
-    tokens = F.regexp_extract_all(c, F.lit(rf"(?s)[^{odd}]?[{odd}]+|[^{odd}]+(?![{odd}])"), F.lit(0))
-    worked = lambda t: F.when(t.rlike(f"[{odd}]"), _normal_segment(t)).otherwise(t)
-    return F.when(c.rlike(r"[^\x00-\x7F]") & c.rlike(f"[{odd}]"), F.array_join(F.transform(tokens, worked), "")).otherwise(c)
+    """The Unicode compatibility form; null stays null.
+
+    A text is cut into segments: a character with the joiners behind it, which is decomposed, put in order and composed; a
+    mapped character, which is looked up; and stretches of all others, which stay."""
+    joiner, no_joiner, one_mapped, odd, safe = _classes_of_characters()
+    replaced = _replacements().get
+    # no joiner stands below U+0300, and a mapped character without one is a token of its own
+    plain = lambda t: (F.length(t) > 1) & (F.ascii(t) < 0x300) & (F.ascii(F.substring(t, 2, 1)) < 0x300)
+    lone = lambda t: F.when(F.length(t) == 1, F.nullif(replaced(F.ascii(t)), F.lit("")))
+    worked = lambda t: F.when(plain(t) | ~t.rlike(rf"(?s)^{odd}|^.{joiner}"), t).otherwise(F.coalesce(lone(t), _normal_pair(t), _normal_segment(t)))
+
+    def normal(text: Column) -> Column:
+        tokens = F.regexp_extract_all(text, F.lit(rf"(?s){no_joiner}?{joiner}+|{one_mapped}|{safe}+(?!{joiner})"), F.lit(0))
+        return F.when(text.rlike(odd), F.array_join(F.transform(tokens, worked), "")).otherwise(text)
+
+    return _let(c, normal)

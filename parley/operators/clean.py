@@ -22,9 +22,11 @@ def tidy(c: Column) -> Column:
     return c
 
 
-def clean_text(c: Column) -> Column:
-    """Null gives the empty text. HTML references are resolved, Unicode is brought to NFKC, then the text is tidied."""
-    return tidy(nfkc(bound(F.coalesce(c, F.lit("")), unescape)))
+def clean_text(c: Column, full: bool = True) -> Column:
+    """Null gives the empty text. HTML references are resolved, Unicode is brought to NFKC (if ``full``), then the text is
+    tidied."""
+    c = unescape(F.coalesce(c, F.lit("")))
+    return tidy(nfkc(c) if full else c)
 
 
 def bound(c: Column, f) -> Column:
@@ -60,8 +62,11 @@ def clean_response(c: Column) -> Column:
 def _cleaned(df: DataFrame) -> DataFrame:
     """``df`` with cleaned texts, and in ``_early`` why a row goes before pairs are compared."""
     missing = F.col("instruction").isNull() | F.col("response").isNull()
-    df = df.withColumn("_null", missing).withColumns({"instruction": clean_instruction(F.col("instruction")), "response": clean_response(F.col("response"))})
-    return df.withColumn("_early", F.when(F.col("_null"), "null").when((F.length("instruction") == 0) | (F.length("response") == 0), "empty")).drop("_null")
+    early = F.when(F.col("_null"), "null").when((F.length("instruction") == 0) | (F.length("response") == 0), "empty")
+    # one expression for both texts, however long it is
+    df = df.withColumns({"_null": missing, "_texts": F.transform(F.array("instruction", "response"), lambda c: clean_text(c))})
+    df = df.withColumns({"instruction": capital(F.get("_texts", 0)), "response": sentence_capitals(capital(F.get("_texts", 1)))})
+    return df.withColumn("_early", early).drop("_null", "_texts")
 
 
 def grouped(df: DataFrame) -> DataFrame:

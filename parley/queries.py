@@ -79,7 +79,7 @@ def clean_pages_unescape(spark, sf_dir):
 
 
 #: Letters and signs put in other forms of Unicode: full width, ligatures, signs for words, parts and marks, jamo.
-_FORMS = {"the": "ｔｈｅ", "de": "㏈e", "é": "é", "ñ": "ñ", "ü": "ǘ", "fi": "ﬁ", "on": "ō̱n", "1": "①", "2": "²½", "er": "각ｶﾞr", "...": "…", "A": "Å", "s ": "ẛ̣ "}
+_FORMS = {"The": "Ｔｈｅ", "De": "㏈e", "é": "é", "ñ": "ñ", "ü": "ǘ", "fi": "ﬁ", "On": "Ō̱n", "1": "①", "2": "²½", "Er": "각ｶﾞr", "...": "…", "A": "Å", "S": "ẛ̣"}
 
 
 def _other_forms(c: Column) -> Column:
