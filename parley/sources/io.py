@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import json
 import re
 import shutil
 import tempfile
@@ -15,6 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from parley.functions.lexicons import NA_TOKENS
+from parley.sources import json_array
 
 RAW = T.StructType([T.StructField(n, T.StringType()) for n in ("instruction", "response", "category", "intent", "flags")])
 MESSAGE = T.StructType([T.StructField("role", T.StringType()), T.StructField("content", T.StringType())])
@@ -38,9 +38,8 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """A file with one JSON array of objects."""
-    reader = spark.read.option("multiLine", True)
-    return (reader.schema(schema) if schema else reader).json(path)
+    """A file with one JSON array of objects, read by several tasks if it is large."""
+    return json_array.read_array(spark, path, schema)
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType = CHAT) -> DataFrame:
@@ -56,24 +55,8 @@ def read_test(spark: SparkSession, path: str, schema: T.StructType = CHAT) -> Da
 
 
 def write_json(df: DataFrame, path: str, indent: int = 4) -> int:
-    """One file with one JSON array, and the number of its rows. Rows come to the driver a partition at a time; for tables
-    of any size there is ``write_jsonl``."""
-    sc = df.sparkSession.sparkContext
-    where = sc._jvm.org.apache.hadoop.fs.Path(path)
-    out = where.getFileSystem(sc._jsc.hadoopConfiguration()).create(where, True)
-    n, held = 0, ["["]
-    try:
-        for row in df.toLocalIterator():
-            text = json.dumps(row.asDict(recursive=True), ensure_ascii=False, indent=indent).replace("\n", "\n" + " " * indent)
-            held.append(("," if n else "") + "\n" + " " * indent + text)
-            n += 1
-            if n % 1_000 == 0:
-                out.write("".join(held).encode("utf-8", "surrogatepass"))
-                held = []
-        out.write("".join([*held, "\n]\n" if n else "]\n"]).encode("utf-8", "surrogatepass"))
-    finally:
-        out.close()
-    return n
+    """One file with one JSON array, and the number of its rows; written by the tasks."""
+    return json_array.write_array(df, path, indent)
 
 
 def scratch(spark: SparkSession) -> str:
