@@ -211,20 +211,45 @@ def eda_distinct(spark, sf_dir):
     return profile.distinct_counts(interactions(spark, sf_dir))
 
 
+#: Records that break a rule or keep one in an unusual way, for every format.
+_RECORDS = (
+    "no json", "[]", "{}", "null", "5", '"text"', '{"instruction": null, "input": [], "output": {}, "more": 1}', '{"instruction": "x", "output": "y"}', '{"messages": {}}', '{"messages": [1, 2]}',
+    '{"messages": [{"role": "user", "content": "x"}]}', '{"messages": [{"role": "user", "content": "x"}, {"role": "tool", "content": null}]}',
+    '{"metadata": {}, "messages": [{"role": "user", "content": "x"}, {"role": "assistant"}, {}]}', '[{"role": "user", "content": "x"}, {"role": "user", "content": "y"}]',
+    '[{"role": "user", "content": null}, {"role": "assistant", "content": [1]}]', '[{"role": "user", "content": "x"}, 7]', '[{"content": "x"}, {"role": "assistant", "content": "y"}]',
+    '[{"role": "user", "content": "x"}, {"role": "assistant", "content": "y"}, {"role": "user", "content": "z"}]', '[{"role": 1, "content": "x"}, {}]',
+)
+
+
 def _json_lines(spark, sf_dir):
-    """Chat formats as JSON text, one in some rows spoilt."""
+    """Chat formats as JSON text; some rows have another record, some only the first half of theirs."""
     rows = _formatted(spark, sf_dir)
-    bad = lambda c, k, text: F.when(F.col("row_id") % k == 0, F.lit(text)).otherwise(c)
-    return rows.select(
-        "row_id", bad(chat.json_of(F.col("alpaca")), 5, '{"instruction": "x", "output": "y"}').alias("alpaca"),
-        bad(chat.json_of(F.col("chatml")), 3, '[{"role": "user", "content": "x"}, {"role": "user", "content": "y"}]').alias("chatml"),
-        bad(bad(chat.json_of(F.struct("messages", "metadata")), 4, '{"messages": [], "metadata": {}}'), 7, "no json").alias("messages"),
-    )
+    number = F.floor(F.col("row_id") / 4) % len(_RECORDS)
+
+    def spoilt(c):
+        return F.when(F.col("row_id") % 4 == 0, F.get(F.array(*map(F.lit, _RECORDS)), number.cast("int"))).when(F.col("row_id") % 9 == 5, F.substr(c, F.lit(1), (F.length(c) / 2).cast("int"))).otherwise(c)
+
+    texts = {"alpaca": F.col("alpaca"), "chatml": F.col("chatml"), "messages": F.struct("messages", "metadata")}
+    return rows.select("row_id", *[spoilt(chat.json_of(c)).alias(k) for k, c in texts.items()])
 
 
 def validate_json_formats(spark, sf_dir):
     rows = _json_lines(spark, sf_dir)
-    return rows.select("row_id", *[f(F.col(k)).alias(f"{k}_valid") for k, f in validate.JSON_RULES.items()])
+    errors = rows.select("row_id", *[validate.json_error(F.col(k), k).alias(k) for k in validate.JSON_ERRORS])
+    return errors.select("row_id", *[x for k in validate.JSON_ERRORS for x in (F.col(k).isNull().alias(f"{k}_valid"), F.coalesce(f"{k}.rule", F.lit("")).alias(f"{k}_rule"), F.coalesce(f"{k}.place", F.lit(-1)).alias(f"{k}_place"))])
+
+
+#: Bytes that no UTF-8 text has, by what is wrong with them.
+_BAD_BYTES = ("80", "C080", "EDA080", "E08080", "F4908080", "E282", "FF", "F0808080")
+
+
+def validate_encoding(spark, sf_dir):
+    """The documents as bytes, with wrong ones put in the middle of some: where each first goes wrong, and why."""
+    data, n = F.col("text").cast("binary"), len(_BAD_BYTES)
+    half = (F.octet_length("text") / 2).cast("int")
+    wrong = F.unhex(F.get(F.array(*map(F.lit, _BAD_BYTES)), (F.floor(F.col("doc_id") / 3) % n).cast("int")))
+    spoilt = F.when(F.col("doc_id") % 3 == 1, F.concat(F.substr(data, F.lit(1), half), wrong, F.substr(data, half + 1))).otherwise(data)
+    return _documents(spark, sf_dir).select("doc_id", validate.encoding_error(spoilt).alias("e")).where("e is not null").select("doc_id", "e.place", "e.reason")
 
 
 def validate_overall(spark, sf_dir):
@@ -262,7 +287,7 @@ def queries() -> dict:
         clean_dedupe_first, clean_removal_report, quality_filter, quality_report, enrich_distributions, augment_short_form, augment_long_form, augment_paraphrase, augment_typos,
         augment_all_dist, format_alpaca, format_chatml, format_messages, render_template, render_prompt, validate_rows, validate_formats, token_estimates, token_stats, split_assign,
         split_sizes, split_intent_dist, sample_k, report_progression, report_metrics, report_headline, eda_distinct,
-        validate_json_formats, validate_overall, _round_trip("csv"), _round_trip("jsonl"), _round_trip("json"), source_splits,
+        validate_json_formats, validate_overall, validate_encoding, _round_trip("csv"), _round_trip("jsonl"), _round_trip("json"), source_splits,
     )
     out = {f.__name__: f for f in own}
     out |= {f"score_{c.removesuffix('_score')}": _score_query(c) for c in (*score.WEIGHTS, "quality_score")}
@@ -451,6 +476,49 @@ _REMOVAL = """SELECT count(*) AS initial_rows, count(*) FILTER (reason = 'null')
   count(*) FILTER (reason <> 'kept') AS total_removed FROM reasons"""
 
 
+def _json_texts() -> str:
+    """The three JSON texts of _json_lines."""
+    records = _list(_RECORDS)
+    spoilt = lambda c: f"CASE WHEN row_id % 4 = 0 THEN ({records})[CAST(floor(row_id / 4) AS BIGINT) % {len(_RECORDS)} + 1] WHEN row_id % 9 = 5 THEN substr({c}, 1, CAST(floor(length({c}) / 2) AS INTEGER)) ELSE {c} END"
+    alpaca = "CAST(to_json({'instruction': instruction, 'input': '', 'output': response}) AS VARCHAR)"
+    chatml = "CAST(to_json([{'role': 'user', 'content': instruction}, {'role': 'assistant', 'content': response}]) AS VARCHAR)"
+    messages = f"""CAST(to_json({{'messages': {_MESSAGES}, 'metadata': {{'intent': intent, 'category': category, 'sentiment': sentiment, 'urgency': urgency, 'escalation': escalation, 'complexity': complexity}}}}) AS VARCHAR)"""
+    return f"t AS (SELECT row_id, {spoilt(alpaca)} AS alpaca, {spoilt(chatml)} AS chatml, {spoilt(messages)} AS messages FROM enriched)"
+
+
+def _json_checks() -> str:
+    """By DuckDB's JSON functions: the first rule that each text breaks, and the message's place."""
+    lacks = lambda c, k: f"json_extract({c}, '$.{k}') IS NULL"
+    other = lambda c, kind: f"coalesce(json_type({c}), '') <> '{kind}'"
+
+    def first(elements: str, *rules: tuple[str, str]) -> str:
+        found = "CASE " + " ".join(f"WHEN {test} THEN '{rule}'" for rule, test in rules) + " END"
+        return f"list_filter(list_transform({elements}, lambda m, i: CASE WHEN ({found}) IS NOT NULL THEN concat({found}, ':', i - 1) END), lambda e: e IS NOT NULL)[1]"
+
+    turns = first("json_extract(c, '$[*]')", ("object", other("m", "OBJECT")), ("role", "coalesce(json_extract_string(m, '$.role'), '') <> CASE WHEN i = 1 THEN 'user' ELSE 'assistant' END"), ("content", lacks("m", "content")))
+    said = first("json_extract(m0, '$.messages[*]')", ("object", other("m", "OBJECT")), ("role", lacks("m", "role")), ("content", lacks("m", "content")))
+    return f"""j AS (SELECT row_id, CASE WHEN json_valid(alpaca) THEN alpaca END AS a, CASE WHEN json_valid(chatml) THEN chatml END AS c, CASE WHEN json_valid(messages) THEN messages END AS m0 FROM t),
+e AS (SELECT row_id,
+  CASE WHEN a IS NULL THEN 'json' WHEN {other('a', 'OBJECT')} THEN 'object' WHEN {lacks('a', 'instruction')} THEN 'instruction' WHEN {lacks('a', 'input')} THEN 'input' WHEN {lacks('a', 'output')} THEN 'output' END AS alpaca,
+  CASE WHEN c IS NULL THEN 'json' WHEN {other('c', 'ARRAY')} THEN 'array' WHEN json_array_length(c) <> 2 THEN 'size' ELSE {turns} END AS chatml,
+  CASE WHEN m0 IS NULL THEN 'json' WHEN {other('m0', 'OBJECT')} THEN 'object' WHEN {lacks('m0', 'messages')} THEN 'messages' WHEN coalesce(json_type(json_extract(m0, '$.messages')), '') <> 'ARRAY' THEN 'array'
+    WHEN json_array_length(json_extract(m0, '$.messages')) < 2 THEN 'size' ELSE {said} END AS messages FROM j)"""
+
+
+def _encoding_sql() -> str:
+    """Over pairs of hexadecimal digits, a space behind each."""
+    pairs = f"regexp_replace(CASE WHEN doc_id % 3 = 1 THEN concat(substr(h, 1, 2 * half), ({_list(_BAD_BYTES)})[CAST(floor(doc_id / 3) AS BIGINT) % {len(_BAD_BYTES)} + 1], substr(h, 2 * half + 1)) ELSE h END, '(..)', '\\1 ', 'g')"
+    blank = pairs
+    for n, pattern in ((4, "F0 [9AB]. [89AB]. [89AB]. |F[123] [89AB]. [89AB]. [89AB]. |F4 8. [89AB]. [89AB]. "), (3, "E0 [AB]. [89AB]. |E[1-9A-CEF] [89AB]. [89AB]. |ED [89]. [89AB]. "), (2, "(C[2-9A-F]|D.) [89AB]. ")):
+        blank = f"regexp_replace({blank}, '{pattern}', '{'xx ' * n}', 'g')"
+    return f"""WITH b AS (SELECT doc_id, hex(encode(text)) AS h, CAST(floor(octet_length(encode(text)) / 2) AS INTEGER) AS half FROM documents),
+r AS (SELECT doc_id, {pairs} AS p, {blank} AS x FROM b),
+f AS (SELECT doc_id, p, length(regexp_extract(x, '^(?:[0-7x]. )*')) // 3 AS place, length(x) // 3 AS n FROM r),
+w AS (SELECT doc_id, place, substr(p, place * 3 + 1, 2) AS byte, substr(p, place * 3 + 4, 1) AS after FROM f WHERE place < n)
+SELECT doc_id, CAST(place AS INTEGER) AS place, CASE WHEN byte < 'C0' THEN 'stray' WHEN byte < 'C2' OR byte > 'F4' THEN 'impossible' WHEN byte = 'ED' AND after IN ('A', 'B') THEN 'surrogate'
+  WHEN (byte = 'E0' AND after IN ('8', '9')) OR (byte = 'F0' AND after = '8') THEN 'overlong' WHEN byte = 'F4' AND after IN ('9', 'A', 'B') THEN 'beyond' ELSE 'truncated' END AS reason FROM w"""
+
+
 def oracle_sql() -> dict[str, str]:
     cols = ("row_id", "instruction", "response", "category", "intent", "flags")
     sizes = {"instruction_chars": "length(instruction)", "instruction_words": _wc("instruction"), "response_chars": "length(response)", "response_words": _wc("response")}
@@ -517,10 +585,11 @@ s AS (SELECT *, CAST(floor(4 * c * CAST(0.8 AS DOUBLE)) AS BIGINT) AS train, CAS
 SELECT a AS raw_records, b AS cleaned_records, c AS quality_passed_records, 4 * c AS augmented_records, a - b AS removed_cleaning_count, b - c AS removed_quality_count, 3 * c AS augmented_added_count,
   train AS train_records, val AS val_records, 4 * c - train - val AS test_records, (SELECT round(avg(quality_score), 6) FROM scored) AS average_quality_score FROM s""",
         "eda_distinct": f"WITH {_BASE} SELECT count(DISTINCT category) AS distinct_category, count(DISTINCT intent) AS distinct_intent FROM base",
-        "validate_json_formats": f"WITH {_BASE} SELECT row_id, row_id % 5 <> 0 AS alpaca_valid, row_id % 3 <> 0 AS chatml_valid, row_id % 4 <> 0 AND row_id % 7 <> 0 AS messages_valid FROM base",
-        "validate_overall": f"""WITH {_BASE}, p AS (SELECT 'rows' AS part, count(*) FILTER (instruction IS NULL OR response IS NULL OR {blank('instruction')} OR {blank('response')}) = 0 AS is_valid FROM base
-UNION ALL SELECT 'alpaca', count(*) FILTER (row_id % 5 = 0) = 0 FROM base UNION ALL SELECT 'chatml', count(*) FILTER (row_id % 3 = 0) = 0 FROM base
-UNION ALL SELECT 'messages', count(*) FILTER (row_id % 4 = 0 OR row_id % 7 = 0) = 0 FROM base) SELECT * FROM p UNION ALL SELECT 'overall', bool_and(is_valid) FROM p""",
+        "validate_json_formats": f"""WITH {_BASE}, {_ENRICHED}, {_json_texts()}, {_json_checks()}
+SELECT row_id, {", ".join(f"{k} IS NULL AS {k}_valid, coalesce(split_part({k}, ':', 1), '') AS {k}_rule, coalesce(TRY_CAST(NULLIF(split_part({k}, ':', 2), '') AS INTEGER), -1) AS {k}_place" for k in validate.JSON_ERRORS)} FROM e""",
+        "validate_overall": f"""WITH {_BASE}, {_ENRICHED}, {_json_texts()}, {_json_checks()}, p AS (SELECT 'rows' AS part, count(*) FILTER (instruction IS NULL OR response IS NULL OR {blank('instruction')} OR {blank('response')}) = 0 AS is_valid FROM base
+UNION ALL SELECT 'alpaca', count(alpaca) = 0 FROM e UNION ALL SELECT 'chatml', count(chatml) = 0 FROM e UNION ALL SELECT 'messages', count(messages) = 0 FROM e) SELECT * FROM p UNION ALL SELECT 'overall', bool_and(is_valid) FROM p""",
+        "validate_encoding": _encoding_sql(),
         "source_csv": f"WITH {_BASE} SELECT row_id, {', '.join(f'CASE WHEN {c} NOT IN ({na}) THEN {c} END AS {c}' for c in ('instruction', 'response', 'category', 'intent', 'flags'))} FROM base",
         "source_jsonl": f"WITH {_BASE} SELECT row_id, instruction, response, category, intent, flags FROM base",
         "source_json": f"WITH {_BASE} SELECT row_id, instruction, response, category, intent, flags FROM base",
