@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -277,6 +278,21 @@ def source_splits(spark, sf_dir):
     return back.groupBy("split").agg(F.count("*").alias("n"), F.sum(F.length(F.get("messages", 1)["content"])).alias("chars"))
 
 
+def eda_kde(spark, sf_dir):
+    return profile.density(interactions(spark, sf_dir))
+
+
+def split_siblings(spark, sf_dir):
+    """Turns, those of a conversation together."""
+    return split.split_groups(_documents(spark, sf_dir, "conversations"), "conv_id").select("conv_id", "turn", "split")
+
+
+def source_versions(spark, sf_dir):
+    """The version of two tables by their content, rows dealt in another order."""
+    tables = {"conversations": _documents(spark, sf_dir, "conversations").repartition(7), "interactions": interactions(spark, sf_dir)}
+    return reduce(DataFrame.union, [io.digest(df).select(F.lit(n).alias("name"), "n_rows", "version") for n, df in tables.items()])
+
+
 def report_metrics(spark, sf_dir):
     return report.flat(clean.removal_report(_raw_docs(spark, sf_dir)))
 
@@ -287,7 +303,7 @@ def queries() -> dict:
         clean_dedupe_first, clean_removal_report, quality_filter, quality_report, enrich_distributions, augment_short_form, augment_long_form, augment_paraphrase, augment_typos,
         augment_all_dist, format_alpaca, format_chatml, format_messages, render_template, render_prompt, validate_rows, validate_formats, token_estimates, token_stats, split_assign,
         split_sizes, split_intent_dist, sample_k, report_progression, report_metrics, report_headline, eda_distinct,
-        validate_json_formats, validate_overall, validate_encoding, _round_trip("csv"), _round_trip("jsonl"), _round_trip("json"), source_splits,
+        validate_json_formats, validate_overall, validate_encoding, eda_kde, split_siblings, source_versions, _round_trip("csv"), _round_trip("jsonl"), _round_trip("json"), source_splits,
     )
     out = {f.__name__: f for f in own}
     out |= {f"score_{c.removesuffix('_score')}": _score_query(c) for c in (*score.WEIGHTS, "quality_score")}
@@ -519,6 +535,29 @@ SELECT doc_id, CAST(place AS INTEGER) AS place, CASE WHEN byte < 'C0' THEN 'stra
   WHEN (byte = 'E0' AND after IN ('8', '9')) OR (byte = 'F0' AND after = '8') THEN 'overlong' WHEN byte = 'F4' AND after IN ('9', 'A', 'B') THEN 'beyond' ELSE 'truncated' END AS reason FROM w"""
 
 
+def _kde_sql(points: int = 200, cells: int = 1024) -> str:
+    return f"""WITH {_BASE}, v AS (SELECT 'instruction' AS field, CAST({_wc('instruction')} AS DOUBLE) AS v FROM base WHERE instruction IS NOT NULL UNION ALL SELECT 'response', CAST({_wc('response')} AS DOUBLE) FROM base WHERE response IS NOT NULL),
+m AS (SELECT field, min(v) AS low, max(v) AS high, count(*) AS n, stddev_samp(v) * pow(count(*), -0.2) AS width FROM v GROUP BY field HAVING max(v) > min(v)),
+p AS (SELECT field, (v - low) / (high - low) * {cells} AS place FROM v JOIN m USING (field)), c AS (SELECT field, place, least(floor(place), {cells - 1}) AS cell FROM p),
+w AS (SELECT field, cell, sum(share) AS share FROM (SELECT field, cell, 1 - (place - cell) AS share FROM c UNION ALL SELECT field, cell + 1, place - cell FROM c) x GROUP BY 1, 2),
+g AS (SELECT *, low + point * (high - low) / {points - 1} AS x FROM (SELECT *, unnest(range(0, {points})) AS point FROM m) y),
+s AS (SELECT field, point, max(x) AS x, max(n) AS n, sum(share * exp(-0.5 * pow((x - (low + cell * (high - low) / {cells})) / width, 2))) / (max(width) * sqrt(2 * pi())) AS e FROM w JOIN g USING (field) GROUP BY 1, 2)
+SELECT field, CAST(point AS BIGINT) AS point, round(x, 6) AS x, round(e / n, 9) AS density, round(e, 6) AS expected FROM s"""
+
+
+_SIBLINGS = """WITH g AS (SELECT md5(concat('=', conv_id, '|42')) AS h, count(*) AS n FROM conversations GROUP BY conv_id),
+p AS (SELECT h, CAST(sum(n) OVER (ORDER BY h) AS BIGINT) AS stop, n, CAST(sum(n) OVER () AS BIGINT) AS total FROM g),
+l AS (SELECT *, stop - n AS start, floor(total * CAST(0.8 AS DOUBLE)) AS a, floor(total * CAST(0.8 AS DOUBLE)) + floor(total * CAST(0.1 AS DOUBLE)) AS b FROM p),
+s AS (SELECT h, least(stop, a) - start AS x, least(stop, b) - greatest(start, a) AS y, stop - greatest(start, b) AS z FROM l)
+SELECT conv_id, turn, CASE WHEN x >= y AND x >= z THEN 'train' WHEN y >= z THEN 'validation' ELSE 'test' END AS split FROM conversations JOIN s ON s.h = md5(concat('=', conv_id, '|42'))"""
+
+
+def _version(name: str, source: str, columns) -> str:
+    cells = ", '|', ".join(f"CASE WHEN {c} IS NULL THEN '{c}~' ELSE concat('{c}=', length(CAST({c} AS VARCHAR)), ':', CAST({c} AS VARCHAR)) END" for c in sorted(columns))
+    part = lambda at: f"CAST(sum(CAST(concat('0x', substr(h, {at}, 15)) AS BIGINT)) AS VARCHAR)"
+    return f"SELECT '{name}' AS name, count(*) AS n_rows, md5(concat('{','.join(sorted(columns))}', '|', count(*), '|', {part(1)}, '|', {part(17)})) AS version FROM (SELECT md5(concat({cells})) AS h FROM {source}) x"
+
+
 def oracle_sql() -> dict[str, str]:
     cols = ("row_id", "instruction", "response", "category", "intent", "flags")
     sizes = {"instruction_chars": "length(instruction)", "instruction_words": _wc("instruction"), "response_chars": "length(response)", "response_words": _wc("response")}
@@ -590,6 +629,9 @@ SELECT row_id, {", ".join(f"{k} IS NULL AS {k}_valid, coalesce(split_part({k}, '
         "validate_overall": f"""WITH {_BASE}, {_ENRICHED}, {_json_texts()}, {_json_checks()}, p AS (SELECT 'rows' AS part, count(*) FILTER (instruction IS NULL OR response IS NULL OR {blank('instruction')} OR {blank('response')}) = 0 AS is_valid FROM base
 UNION ALL SELECT 'alpaca', count(alpaca) = 0 FROM e UNION ALL SELECT 'chatml', count(chatml) = 0 FROM e UNION ALL SELECT 'messages', count(messages) = 0 FROM e) SELECT * FROM p UNION ALL SELECT 'overall', bool_and(is_valid) FROM p""",
         "validate_encoding": _encoding_sql(),
+        "eda_kde": _kde_sql(),
+        "split_siblings": _SIBLINGS,
+        "source_versions": f"WITH {_BASE} {_version('conversations', 'conversations', ('conv_id', 'turn', 'role', 'text'))} UNION ALL {_version('interactions', 'base', cols)}",
         "source_csv": f"WITH {_BASE} SELECT row_id, {', '.join(f'CASE WHEN {c} NOT IN ({na}) THEN {c} END AS {c}' for c in ('instruction', 'response', 'category', 'intent', 'flags'))} FROM base",
         "source_jsonl": f"WITH {_BASE} SELECT row_id, instruction, response, category, intent, flags FROM base",
         "source_json": f"WITH {_BASE} SELECT row_id, instruction, response, category, intent, flags FROM base",

@@ -8,7 +8,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -108,6 +108,35 @@ def snapshot(df: DataFrame, path: str) -> None:
     df.write.mode("ignore").parquet(path)
 
 
+def row_text(df: DataFrame) -> Column:
+    """A text that tells rows with different cells apart, whatever these hold: each cell, by its column's name, with its length;
+    nulls are marked."""
+    say = lambda c, t: F.to_json(F.col(f"`{c}`"), {"ignoreNullFields": "false"}) if t.startswith(("struct", "array", "map")) else F.col(f"`{c}`").cast("string")
+    cells = [F.coalesce(F.concat(F.lit(f"{c}="), F.length(v).cast("string"), F.lit(":"), v), F.lit(f"{c}~")) for c, t in sorted(df.dtypes) for v in (say(c, t),)]
+    return F.concat_ws("|", *cells)
+
+
+def digest(df: DataFrame) -> DataFrame:
+    """n_rows, version: a digest of a table's rows that does not depend on their order, nor on that of the columns. Two sums of
+    parts of the rows' md5 are merged like counts, so repeated rows count and nothing is sorted or shuffled."""
+    rows = df.select(F.md5(row_text(df)).alias("h"))
+    part = lambda at: F.coalesce(F.sum(F.conv(F.substring("h", at, 15), 16, 10).cast("decimal(20,0)")), F.lit(0).cast("decimal(30,0)"))
+    sums = rows.agg(F.count("*").alias("n_rows"), part(1).alias("a"), part(17).alias("b"))
+    return sums.select("n_rows", F.md5(F.concat_ws("|", F.lit(",".join(sorted(df.columns))), F.col("n_rows").cast("string"), F.col("a").cast("string"), F.col("b").cast("string"))).alias("version"))
+
+
+def versioned(df: DataFrame, path: str) -> tuple[str, bool]:
+    """Keep a table under ``path`` by its content: the folder, and whether it is new. The same rows in any order are there
+    already; another cell makes another version. A version whose writing was broken off is written again."""
+    version = digest(df).first().version
+    where = f"{path.rstrip('/')}/version={version}"
+    marker = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{where}/_SUCCESS")
+    if marker.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).exists(marker):
+        return where, False
+    df.write.mode("overwrite").parquet(where)
+    return where, True
+
+
 def with_row_id(df: DataFrame, name: str = "row_id") -> DataFrame:
     """A number from 0 in the order of the input: the place inside the partition and the sizes of those before it, one row
     a partition; no global sort, no row leaves the JVM. For scans: the partitions have to be the same in both passes."""
