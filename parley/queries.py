@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from parley.functions import lexicons as L
 from parley.functions import unicode
-from parley.operators import augment, chat, clean, enrich, profile, report, score, split, tokens, validate
+from parley.operators import augment, chat, clean, enrich, profile, report, score, split, template, tokens, validate
 from parley.sources import io
 from parley.sources.io import INTERACTIONS_SQL, interactions, over_turns, scratch
 
@@ -168,6 +168,35 @@ def render_prompt(spark, sf_dir):
     return _formatted(spark, sf_dir).select("row_id", chat.prompt(F.col("messages")).alias("text"))
 
 
+#: Two layouts in the language of tokenizer files.
+TEMPLATES = {
+    "chatml": r"""{% for message in messages %}
+{{ '<|im_start|>' + message['role'] + '\n' + message['content'] + '<|im_end|>' + '\n' }}
+{%- endfor %}
+{% if add_generation_prompt %}
+{{ '<|im_start|>assistant\n' }}
+{%- endif %}
+""",
+    "instructions": r"""{{ bos_token }}
+{%- for message in messages %}
+    {%- if message.role == 'system' %}
+        {%- if loop.first %}{{ '<<SYS>>\n' + message.content + '\n<</SYS>>\n' }}{% endif %}
+    {%- elif message.role == 'user' %}
+        {{- '[INST] ' + (message.content | trim) + ' [/INST]' }}
+    {%- else %}
+        {{- ' ' + message.content + eos_token }}{% if not loop.last %}{{ '\n' }}{% endif %}
+    {%- endif %}
+{%- endfor %}""",
+}
+
+
+def render_files(spark, sf_dir):
+    """Both layouts, and the first one open for an answer."""
+    m = F.col("messages")
+    texts = {"chatml": template.compiled(TEMPLATES["chatml"], m), "prompt": template.compiled(TEMPLATES["chatml"], F.slice(m, 1, 2), True), "instructions": template.compiled(TEMPLATES["instructions"], m, bos_token="<s>", eos_token="</s>")}
+    return _formatted(spark, sf_dir).select("row_id", *[c.alias(k) for k, c in texts.items()])
+
+
 def validate_rows(spark, sf_dir):
     return validate.validate_rows(_raw_docs(spark, sf_dir), 150, 1_000)
 
@@ -303,7 +332,7 @@ def queries() -> dict:
         clean_dedupe_first, clean_removal_report, quality_filter, quality_report, enrich_distributions, augment_short_form, augment_long_form, augment_paraphrase, augment_typos,
         augment_all_dist, format_alpaca, format_chatml, format_messages, render_template, render_prompt, validate_rows, validate_formats, token_estimates, token_stats, split_assign,
         split_sizes, split_intent_dist, sample_k, report_progression, report_metrics, report_headline, eda_distinct,
-        validate_json_formats, validate_overall, validate_encoding, eda_kde, split_siblings, source_versions, _round_trip("csv"), _round_trip("jsonl"), _round_trip("json"), source_splits,
+        validate_json_formats, validate_overall, validate_encoding, eda_kde, render_files, split_siblings, source_versions, _round_trip("csv"), _round_trip("jsonl"), _round_trip("json"), source_splits,
     )
     out = {f.__name__: f for f in own}
     out |= {f"score_{c.removesuffix('_score')}": _score_query(c) for c in (*score.WEIGHTS, "quality_score")}
@@ -630,6 +659,8 @@ SELECT row_id, {", ".join(f"{k} IS NULL AS {k}_valid, coalesce(split_part({k}, '
 UNION ALL SELECT 'alpaca', count(alpaca) = 0 FROM e UNION ALL SELECT 'chatml', count(chatml) = 0 FROM e UNION ALL SELECT 'messages', count(messages) = 0 FROM e) SELECT * FROM p UNION ALL SELECT 'overall', bool_and(is_valid) FROM p""",
         "validate_encoding": _encoding_sql(),
         "eda_kde": _kde_sql(),
+        "render_files": f"""WITH {_BASE} SELECT row_id, {_render(_TURNS)} AS chatml, {_render(_TURNS[:2], '<|im_start|>assistant' + chr(10))} AS prompt,
+  concat('<s><<SYS>>\n', {_SYSTEM[1]}, '\n<</SYS>>\n[INST] ', {_re('instruction', rf'^[{_SPACE}]+|[{_SPACE}]+$', '')}, ' [/INST] ', response, '</s>') AS instructions FROM base""",
         "split_siblings": _SIBLINGS,
         "source_versions": f"WITH {_BASE} {_version('conversations', 'conversations', ('conv_id', 'turn', 'role', 'text'))} UNION ALL {_version('interactions', 'base', cols)}",
         "source_csv": f"WITH {_BASE} SELECT row_id, {', '.join(f'CASE WHEN {c} NOT IN ({na}) THEN {c} END AS {c}' for c in ('instruction', 'response', 'category', 'intent', 'flags'))} FROM base",
