@@ -136,10 +136,10 @@ def train(docs: DataFrame, label_col: str = "lang", text_col: str = "text", id_c
 
     The sample is the rows whose hashed id and text lie below a bound, equal rows once and of each label those of least
     hash, so it is the same in every run. Every label is learned, however many there are; the model takes some 64 KB a
-    label. Only the labels' counts and sparse n-gram counts of the sample reach the driver. Rows with a null label or text
-    are not used; without rows nothing is learned.
+    label. Only the labels' counts and sparse n-gram counts of the sample reach the driver. Rows with a null label, or with
+    a text that is null or has no letter, are neither counted nor sampled; without rows nothing is learned.
     """
-    rows = docs.select(F.col(label_col).cast("string").alias("label"), F.col(text_col).alias("text"), F.col(id_col).alias("id")).where("label is not null and text is not null")
+    rows = docs.select(F.col(label_col).cast("string").alias("label"), F.col(text_col).alias("text"), F.col(id_col).alias("id")).where(F.col("label").isNotNull() & F.col("text").rlike(r"\p{L}"))
     sizes = rows.groupBy("label").count().collect()
     if not sizes:
         return fit([])

@@ -81,3 +81,11 @@ def test_language_sample_of_null_and_repeated_ids(spark, monkeypatch):
         docs = spark.range(3000).selectExpr(f"cast({i} as long) doc_id", "concat('some words of row ', id) text", "if(id % 2 = 0, 'a', 'b') lang")
         sample = language_id.train(docs, sample_rows=100)
         assert 40 <= len(sample) <= 100 and {r[0] for r in sample} == {"a", "b"}
+
+
+def test_texts_without_letters_take_no_place_in_the_sample(spark):
+    """A label is learned from its few good rows, however many others it has."""
+    rows = [(i, "12 34 -- !!", "fr") for i in range(400)] + [(1000 + i, "le chat est sur la table et le chien dort", "fr") for i in range(3)]
+    rows += [(2000 + i, "the cat is on the table and the dog sleeps", "en") for i in range(100)]
+    model = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample_rows=40)
+    assert set(model.labels) == {"en", "fr"} and model.predict(["le chien est sur la table"])[0][0] == "fr"
