@@ -19,7 +19,7 @@ from parley.llm.common import slices
 
 #: Words whose ids are remembered; the memory is emptied when full, so it stays bounded. A worker that only encodes has
 #: room for more of them than one that also serves other stages.
-MEMORY, MORE_MEMORY = 120_000, 400_000
+MEMORY, MORE_MEMORY = 60_000, 400_000
 #: Characters of a word that is remembered at most.
 REMEMBERED = 100
 #: Unicode white space as the vocabulary's patterns take it.
