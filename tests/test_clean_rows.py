@@ -1,5 +1,12 @@
 """Rows through cleaning: shared and null ids, ties, counters of one run."""
 
+import unicodedata
+
+import duckdb
+import pyarrow as pa
+from pyspark.sql import functions as F
+
+from parley import queries
 from parley.operators import clean, report
 from parley.plans import pipeline
 from parley.sources import io
@@ -55,3 +62,13 @@ def test_pipeline_counts_what_it_writes(spark, sf, tmp_path):
     out = pipeline.run(spark, raw, f"{tmp_path}/out", 1.0)
     assert out["cleaning"] == report.as_dict(clean.removal_report(raw))
     assert out["cleaning"]["final_rows"] == spark.read.parquet(f"{tmp_path}/out/data/cleaned").count()
+
+
+def test_capitals_are_those_of_the_sql(spark):
+    """Every small letter with a capital that NFKC leaves alone and Java knows, also those of which it makes two capitals."""
+    letters = [x for n in range(0x110000) if unicodedata.category(x := chr(n)) == "Ll" and unicodedata.normalize("NFKC", x) == x != x.upper()]
+    rows = [(x, f"{x}a") for x in letters]
+    got = {r.x: r.t for r in spark.createDataFrame(rows, "x string, t string").where(r"x rlike '^\\p{Ll}'").select("x", clean.capital(F.col("t")).alias("t")).collect()}
+    letters_in = pa.table({"x": letters, "t": [f"{x}a" for x in letters]})
+    assert got == {x: t for x, t in duckdb.sql(f"SELECT x, {queries._capital('t')} FROM letters_in").fetchall() if x in got}
+    assert got["ß"] == "ẞa" and len(got) > 1000
