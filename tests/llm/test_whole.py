@@ -89,3 +89,23 @@ def test_texts_without_letters_take_no_place_in_the_sample(spark):
     rows += [(2000 + i, "the cat is on the table and the dog sleeps", "en") for i in range(100)]
     model = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample_rows=40)
     assert set(model.labels) == {"en", "fr"} and model.predict(["le chien est sur la table"])[0][0] == "fr"
+
+
+def test_large_families_of_lines_lose_no_link(spark, monkeypatch):
+    """More than 24 lines share a band; links that are not those of nearest sketches count too, in one block and in several."""
+    r = random.Random(4)
+    word = lambda: "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(3, 9)))
+    base = [word() for _ in range(40)]
+    lines = [" ".join(base)]
+    for _ in range(149):
+        x = list(base)
+        for i in r.sample(range(40), 7):
+            x[i] = word()
+        lines.append(" ".join(x))
+    assert sum(line_dedup.alike(lines[0], x) for x in lines) == 150
+    docs = spark.createDataFrame(list(enumerate(lines)), DOC)
+    left = []
+    for most in (line_dedup.TASK_LINES, 40):
+        monkeypatch.setattr(line_dedup, "TASK_LINES", most)
+        left.append(line_dedup.duplicate_lines(docs).where("n_kept = 1").count())
+    assert max(left) <= 15, left  # 102 when each line was compared with the one of the nearest sketch alone
