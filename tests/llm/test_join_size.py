@@ -34,3 +34,22 @@ def test_small_sets_link_with_equal_ones_only(spark):
     rows = [(k, text(n)) for k, n in enumerate((4, 5, 5, 6, 7))] + [(9, text(4, "z"))]
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.components(spark.createDataFrame(rows, DOC)).collect()}
     assert got == {0: (4, 0), 1: (5, 1), 2: (5, 1), 3: (6, 3), 4: (7, 3), 9: (5, 9)}
+
+
+def test_pipeline_deals_rows_out_once(spark, monkeypatch):
+    """Rows of one id and text are where the join has put them; their contents are not shuffled again."""
+    import corpus_pipeline
+
+    found = lambda docs, with_places: docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.lit(3).alias("n_shingles"), F.lit(True).alias("stays"))
+    monkeypatch.setattr(ngram_join, "components", found)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        docs = spark.createDataFrame([(1, "a b c"), (1, "a b c"), (None, "a b c"), (None, "d"), (0, "d")], DOC)
+        kept = corpus_pipeline.near_duplicates(spark, docs, "")
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert sum("Exchange hashpartitioning" in line for line in plan.splitlines()) == 3  # the join's sides and what was found, made distinct
+        assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == [(0, "d"), (1, "a b c"), (None, "a b c"), (None, "d")]
+    finally:
+        spark.conf.set(key, before)
