@@ -15,11 +15,13 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.common import slices
+from parley.llm.common import frugal, slices
 
 #: Words whose ids are remembered; the memory is emptied when full, so it stays bounded. A worker that only encodes has
 #: room for more of them than one that also serves other stages.
 MEMORY, MORE_MEMORY = 60_000, 400_000
+#: Texts that are encoded and decoded again before their results leave: results are some five times as large.
+ROUND_TRIP_BYTES = 1 << 19
 #: Characters of a word that is remembered at most.
 REMEMBERED = 100
 #: Unicode white space as the vocabulary's patterns take it.
@@ -182,19 +184,26 @@ def round_trip(text: Column, path: str | None = None) -> Column:
     """struct<ids array<int>, decoded string> of each whole text: encoded, then decoded from those ids."""
 
     @F.arrow_udf("ids array<int>, decoded string")
+    @frugal
     def both(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        c = codec(path or default_path())
-        for part in parts:
-            rows, texts = [], []
-            for s in slices(part):
-                for t in s:
-                    rows.append(c.encode_bytes(t))
-                    texts.append(c.decode(np.frombuffer(rows[-1], "<u4").tolist()))
-            yield pa.StructArray.from_arrays([_id_lists(rows), pa.array(texts, pa.string())], names=["ids", "decoded"])
+        yield from _round_trips(codec(path or default_path()), parts)
 
     return both(text)
 
 
+def _round_trips(c: BpeCodec, parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """An array for each slice of ``ROUND_TRIP_BYTES``, so that results take as little room as texts, here and in the JVM."""
+    for part in parts:
+        if not len(part):
+            yield pa.StructArray.from_arrays([_id_lists([]), pa.array([], pa.string())], names=["ids", "decoded"])
+        for s in slices(part, ROUND_TRIP_BYTES):
+            rows, texts = [], []
+            for t in s:
+                rows.append(c.encode_bytes(t))
+                texts.append(c.decode(np.frombuffer(rows[-1], "<u4").tolist()))
+            yield pa.StructArray.from_arrays([_id_lists(rows), pa.array(texts, pa.string())], names=["ids", "decoded"])
+
+
 DIGEST = pa.struct([("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
 

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.common import slices, stored
+from parley.llm.common import frugal, slices, stored
 
 _WORD = re.compile(r"\w+")
 #: Least word-edit similarity of a leak; embedding steps that are sampled from; sampled steps a table; tables; seed.
@@ -226,6 +226,7 @@ def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words: i
 
 def _finder(held, kind: str, made: pa.DataType):
     @F.arrow_udf(LEAK.format(item=kind))
+    @frugal
     def find(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = held.value
         for part in parts:

@@ -171,6 +171,7 @@ def predict(text: Column, model: CentroidModel) -> Column:
     """struct<label, score, rejected> of each whole text. A null text or one without a letter: und, 0, rejected."""
 
     @F.arrow_udf("label string, score double, rejected boolean")
+    @frugal
     def nearest(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for part in parts:
             rows = [p for texts in slices(part, 1 << 19) for p in model.predict(texts)]
